@@ -18,6 +18,10 @@ from stationlake.schema import ELEMENTS, MISSING, TENTHS
 
 GRAIN = ("station_id", "obs_date", "element")
 FLAGS = ("mflag", "qflag", "sflag")
+# Arrival order, first to last: sorted file listing (a station's .csv sorts before
+# its .dly), then position in the file; ``source_rank``/``arrival`` when rows do
+# not come from files.
+ORDER_COLS = ("file_name", "line_id", "source_rank", "arrival")
 ELEMENT_CODES = [e for e, _, _ in ELEMENTS]
 
 
@@ -37,7 +41,7 @@ def element_filter(df: DataFrame, elements: Sequence[str] = ELEMENT_CODES) -> Da
 
 
 def dedupe_first(df: DataFrame, grain: Sequence[str] = GRAIN,
-                 order: Sequence[str] = ("source_rank", "arrival")) -> DataFrame:
+                 order: Sequence[str] = ORDER_COLS) -> DataFrame:
     """One row per grain: the first in (``order``...) wins.
 
     Expressed as ``min(struct(order..., payload...))`` per grain, an aggregate:
@@ -47,7 +51,7 @@ def dedupe_first(df: DataFrame, grain: Sequence[str] = GRAIN,
     order = [c for c in order if c in df.columns]
     payload = [c for c in df.columns if c not in grain and c not in order]
     first = df.groupBy(*grain).agg(F.min(F.struct(*order, *payload)).alias("_first"))
-    return first.select(*grain, *[F.col(f"_first.{c}").alias(c) for c in payload])
+    return first.select(*grain, *[F.col(f"_first.{c}").alias(c) for c in (*order, *payload)])
 
 
 def unit_scale(df: DataFrame, tenths: Sequence[str] = TENTHS) -> DataFrame:
@@ -63,11 +67,19 @@ def audit_table(raw: DataFrame, elements: Sequence[str] = ELEMENT_CODES,
                 tenths: Sequence[str] = TENTHS) -> DataFrame:
     """Parsed rows -> the audit (bronze) fact: every grain once, flags kept."""
     conformed = blank_flags(drop_missing(element_filter(raw, elements)))
-    first = dedupe_first(conformed)
+    first = dedupe_first(conformed, GRAIN, [c for c in conformed.columns if c in ORDER_COLS])
     return add_date_key(unit_scale(first, tenths)).select(
         "station_id", "date_key", "obs_date", "element", "value", "mflag", "qflag", "sflag")
 
 
+def ingest_union(*parsed: DataFrame) -> DataFrame:
+    """Concatenate parsed sources by column name (missing columns become NULL)."""
+    out = parsed[0]
+    for p in parsed[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
 def qa_filter(obs: DataFrame) -> DataFrame:
     """Curated population: values that passed QA (``qflag IS NULL``)."""
     return obs.where(F.col("qflag").isNull())

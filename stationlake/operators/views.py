@@ -17,7 +17,8 @@ from pyspark.sql.window import Window
 from stationlake.functions import decade, round_opt, season_nh
 from stationlake.operators.joins import join_dim
 
-_BY_STATION = Window.partitionBy("station_id").orderBy("obs_date")
+def _by_station():
+    return Window.partitionBy("station_id").orderBy("obs_date")
 
 
 def _only(df: DataFrame, station_ids: list[str] | None) -> DataFrame:
@@ -69,8 +70,8 @@ def rolling_climate(daily: DataFrame, digits: int | None = 1) -> DataFrame:
     Row frames (not calendar frames), no minimum support: both frames share one
     partitioning and one sort.
     """
-    w7 = _BY_STATION.rowsBetween(-6, 0)
-    w30 = _BY_STATION.rowsBetween(-29, 0)
+    w7 = _by_station().rowsBetween(-6, 0)
+    w30 = _by_station().rowsBetween(-29, 0)
     return daily.select(
         "station_id", "obs_date", "tmax", "prcp",
         round_opt(F.avg("tmax").over(w7), digits).alias("tmax_7d_avg"),
@@ -81,7 +82,7 @@ def rolling_climate(daily: DataFrame, digits: int | None = 1) -> DataFrame:
 
 def record_days(daily: DataFrame) -> DataFrame:
     """View 4: each day with tmax and the station's record over all prior days."""
-    prior = _BY_STATION.rowsBetween(Window.unboundedPreceding, -1)
+    prior = _by_station().rowsBetween(Window.unboundedPreceding, -1)
     return daily.where(F.col("tmax").isNotNull()).select(
         "station_id", "obs_date", "tmax", F.max("tmax").over(prior).alias("prior_record"))
 
@@ -89,7 +90,7 @@ def record_days(daily: DataFrame) -> DataFrame:
 def rain_streaks(daily: DataFrame, threshold: float = 1.0) -> DataFrame:
     """View 5: runs of consecutive days with prcp >= threshold (gaps and islands)."""
     rainy = daily.where(F.col("prcp") >= threshold).select("station_id", "obs_date")
-    grp = F.date_sub("obs_date", F.row_number().over(_BY_STATION))
+    grp = F.date_sub("obs_date", F.row_number().over(_by_station()))
     return rainy.withColumn("streak_grp", grp).groupBy("station_id", "streak_grp").agg(
         F.min("obs_date").alias("streak_start"), F.max("obs_date").alias("streak_end"),
         F.count(F.lit(1)).alias("streak_days"),

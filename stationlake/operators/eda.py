@@ -116,10 +116,18 @@ def anomaly_counts(daily: DataFrame, threshold: float = 3.0, since_year: int = 2
         F.count_if(hit & (F.year("obs_date") >= since_year)).alias("n_anomalies_since"))
 
 
+def pearson(a: str, b: str):
+    """Pearson correlation over rows where both are present; NULL for fewer than two
+    rows or zero spread (ANSI ``corr`` raises on a zero divisor)."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+    return F.try_divide(F.covar_pop(x, y), F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0)))
+
+
 def correlations(daily: DataFrame, columns: Sequence[str] = ("tmax", "tmin", "tavg", "temp_range", "prcp")) -> DataFrame:
     """Pairwise-complete Pearson correlation of every column pair, per station, long form."""
     pairs = list(combinations(columns, 2))
-    agg = daily.groupBy("station_id").agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
+    agg = daily.groupBy("station_id").agg(*[pearson(a, b).alias(f"{a}__{b}") for a, b in pairs])
     stacked = F.explode(F.array(*[F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"),
                                            F.col(f"{a}__{b}").alias("corr")) for a, b in pairs]))
     return agg.select("station_id", stacked.alias("p")).select("station_id", "p.*")

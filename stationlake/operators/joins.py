@@ -9,12 +9,26 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows, so the check itself is bounded.
+    Reads at most ``max_rows + 1`` rows, so the check itself is bounded. The
+    answer is remembered for the session per (plan, input files), so a
+    dimension joined by many queries is counted once.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # plans without a stable hash are simply checked each time
+        key = None
+    if key is not None and key in _CHECKED:
+        return _CHECKED[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _CHECKED[key] = ok
+    return ok
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner",

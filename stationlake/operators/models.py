@@ -65,7 +65,8 @@ def scores(preds: DataFrame) -> DataFrame:
 def with_skill(board: DataFrame, baseline: str = "persistence") -> DataFrame:
     """Add ``skill_vs_<baseline>`` = (1 - MAE / baseline MAE) * 100 per station."""
     base = F.max(F.when(F.col("model") == baseline, F.col("mae"))).over(Window.partitionBy("station_id"))
-    return board.withColumn(f"skill_vs_{baseline}", (F.lit(1.0) - F.col("mae") / base) * 100)
+    return board.withColumn(f"skill_vs_{baseline}", (F.lit(1.0) - F.try_divide(F.col("mae"), F.nullif(base, F.lit(0.0))))
+                            * 100)
 
 
 def model_gate(board: DataFrame, baseline: str = "persistence") -> DataFrame:

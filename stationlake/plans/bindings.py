@@ -13,6 +13,8 @@ grows with the tables. ``ORACLE_*`` hold the same definitions in DuckDB SQL.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +24,27 @@ from stationlake.operators.joins import join_dim
 NULL_MEASURES = ["snow", "snwd", "awnd", "wsfg", "wdfg", "tsun"]
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table ``name`` under ``sf_dir``.
+
+    The resolved read (file listing, footer schema) is reused within a session
+    while the file is unchanged; DataFrames are immutable, so sharing is safe.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        stamp = os.stat(path).st_mtime_ns
+    except OSError:
+        stamp = None
+    key = (id(spark), path, stamp)
+    if stamp is None or key not in _TABLES:
+        df = spark.read.parquet(path)
+        if stamp is None:
+            return df
+        _TABLES[key] = df
+    return _TABLES[key]
 
 
 def station_key(prefix: str, col: str | Column) -> Column:

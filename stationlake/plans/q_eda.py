@@ -107,7 +107,10 @@ def _corr_sql() -> str:
     parts = []
     for i, a in enumerate(_CORR_COLS):
         for b in _CORR_COLS[i + 1:]:
-            parts.append(f"SELECT station_id, '{a}' AS var_a, '{b}' AS var_b, {R(f'corr({a}, {b})')} AS corr "
+            both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+            expr = (f"covar_pop({a}, {b}) / nullif(stddev_pop({a}) FILTER (WHERE {both}) * "
+                    f"stddev_pop({b}) FILTER (WHERE {both}), 0)")
+            parts.append(f"SELECT station_id, '{a}' AS var_a, '{b}' AS var_b, {R(expr)} AS corr "
                          f"FROM d GROUP BY station_id")
     return "\nUNION ALL\n".join(parts)
 

@@ -27,16 +27,16 @@ RAW_COLS = ["station_id", "obs_date", "element", "value_raw", "mflag", "qflag",
 # --- fixed-width month records (binding L: D landed as TMAX, TMIN and an unlisted WT01) ---
 
 def _l_long(spark, sf):
+    """D as long rows: one scan of D, the three elements unpivoted with ``explode``."""
     d = B.daily_sparse(spark, sf)
     q = F.when(F.col("prcp") == 0, F.lit("N"))
     parts = [("TMAX", F.floor(F.col("tmax") / 10)), ("TMIN", F.floor(F.col("tmin") / 10)),
              ("WT01", F.floor(F.col("prcp")))]
-    out = None
-    for el, v in parts:
-        p = d.select("station_id", "obs_date", F.lit(el).alias("element"), v.cast("int").alias("value_raw"),
-                     F.lit(None).cast("string").alias("mflag"), q.alias("qflag"), F.lit("E").alias("sflag"))
-        out = p if out is None else out.unionByName(p)
-    return out
+    el = F.explode(F.array(*[F.struct(F.lit(e).alias("element"), v.cast("int").alias("value_raw"))
+                             for e, v in parts])).alias("e")
+    return d.select("station_id", "obs_date", q.alias("qflag"), el).select(
+        "station_id", "obs_date", "e.element", "e.value_raw", F.lit(None).cast("string").alias("mflag"),
+        "qflag", F.lit("E").alias("sflag"))
 
 
 def _l_parsed(spark, sf):

@@ -60,7 +60,7 @@ def climatology_q(spark, sf):
 
 @register("forecast_scores", _sql(f"""
 SELECT station_id, model, {R("mae")} AS mae, {R("rmse")} AS rmse, n_scored, n_excluded,
-       {R("(1 - mae / max(CASE WHEN model = 'persistence' THEN mae END) OVER (PARTITION BY station_id)) * 100")}
+       {R("(1 - mae / nullif(max(CASE WHEN model = 'persistence' THEN mae END) OVER (PARTITION BY station_id), 0)) * 100")}
          AS skill_vs_persistence
 FROM board"""))
 def forecast_scores(spark, sf):
@@ -121,7 +121,7 @@ def score_upsert(spark, sf):
 def _linear(spark, sf, feats=FEATURE_COLUMNS):
     f = materialize(_feats(spark, sf), "features")
     train, test = FT.split(f, SPLIT)
-    coefs = M.fit_linear(train, feats)
+    coefs = materialize(M.fit_linear(train, feats), "linear_coefficients")
     return coefs, test
 
 

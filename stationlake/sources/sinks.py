@@ -26,7 +26,15 @@ def project(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFra
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
                 sort_within: Sequence[str] = ()) -> None:
-    """Write a staged table. ``sort_within`` clusters rows inside each file (min/max skipping)."""
+    """Write a staged table.
+
+    With ``partition_by`` the rows are first rebalanced on the partition
+    columns (AQE splits oversized partitions and merges small ones), so each
+    folder gets a few right-sized files. ``sort_within`` clusters rows inside
+    each file for min/max skipping.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode("overwrite").format(fmt)

@@ -39,7 +39,8 @@ def main() -> None:
     from stationlake.session import get_spark
     from stationlake.plans.registry import QUERIES
 
-    spark = get_spark(cpus=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
+    parts = os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus.isdigit() else "8")
+    spark = get_spark(cpus=cpus, shuffle_partitions=int(parts))
     # JIT and class-loading warm-up on the smallest tables, not timed.
     warm = os.path.join(os.path.dirname(sf_dir), "sf0.001")
     if os.path.isdir(warm):

@@ -17,6 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEASON = 12
@@ -112,3 +113,18 @@ def seasonal_forecast(series: DataFrame, horizon: int = 24) -> DataFrame:
     """Per station: hold out the last ``horizon`` months, fit on the rest, forecast with 95 % bounds."""
     return (series.select("station_id", "month_start", "value")
             .groupBy("station_id").applyInPandas(_forecast_group(horizon), FORECAST_SCHEMA))
+
+
+def forecast_gate(forecasts: DataFrame, naive: DataFrame) -> DataFrame:
+    """Per station: holdout MAE of the seasonal forecast vs the seasonal-naive MAE, and the verdict.
+
+    ``naive`` carries (station_id, naive_mae) as produced by the seasonal-naive
+    baseline; months without an actual value are not scored.
+    """
+    scored = forecasts.where(F.col("actual").isNotNull() & ~F.isnan("actual"))
+    mae = scored.groupBy("station_id").agg(F.avg(F.abs(F.col("actual") - F.col("forecast"))).alias("mae"),
+                                           F.count(F.lit(1)).alias("n_scored"))
+    j = mae.join(naive.select("station_id", "naive_mae"), "station_id", "left")
+    return j.select("station_id", F.lit("seasonal_arima").alias("model"), "mae", "n_scored",
+                    F.lit("seasonal_naive").alias("baseline"), F.col("naive_mae").alias("baseline_mae"),
+                    (F.col("mae") < F.col("naive_mae")).alias("beats_baseline"))

@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we ship to every executor. 2M narrow rows is tens of MB.
+# Largest dimension we ship to every executor: at most 2M rows and, with a
+# conservative width estimate per row, at most 256 MB.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def _row_bytes(df: DataFrame) -> int:
+    """Upper-end width estimate of one row: 64 bytes per string/binary/nested value, 8 otherwise."""
+    width = 0
+    for f in df.schema.fields:
+        name = f.dataType.typeName()
+        width += 64 if name in ("string", "binary", "array", "map", "struct") else 8
+    return max(width, 8)
 
 
 _CHECKED: dict[tuple, bool] = {}
@@ -16,9 +27,11 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Reads at most ``max_rows + 1`` rows, so the check itself is bounded. The
-    answer is remembered for the session per (plan, input files), so a
-    dimension joined by many queries is counted once.
+    row bound is tightened so that rows x estimated width stays under
+    ``MAX_BROADCAST_BYTES``. The answer is remembered for the session per
+    (plan, input files), so a dimension joined by many queries is counted once.
     """
+    max_rows = min(max_rows, MAX_BROADCAST_BYTES // _row_bytes(df))
     try:
         key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
     except Exception:  # plans without a stable hash are simply checked each time

@@ -14,7 +14,7 @@ from stationlake.operators import features as FT
 from stationlake.operators import forecast as FC
 from stationlake.operators import models as M
 from stationlake.plans import bindings as B
-from stationlake.plans.q_series import FEATURES_SQL, SPLIT, f_monthly
+from stationlake.plans.q_series import FEATURES_SQL, SPLIT, f_monthly, seasonal_naive_df
 from stationlake.plans.registry import R, W, r6, register
 from stationlake.schema import FEATURE_COLUMNS, TARGET
 from stationlake.session import materialize, table_path
@@ -162,3 +162,9 @@ def feature_importance(spark, sf):
 @register("seasonal_forecast")
 def seasonal_forecast(spark, sf):
     return FC.seasonal_forecast(f_monthly(spark, sf), horizon=24)
+
+
+@register("seasonal_gate")
+def seasonal_gate(spark, sf):
+    series = f_monthly(spark, sf)
+    return FC.forecast_gate(FC.seasonal_forecast(series, horizon=24), seasonal_naive_df(series))

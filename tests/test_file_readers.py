@@ -34,3 +34,29 @@ def test_station_dimension_file_defaults(spark):
         f.write("AB000000001,Alpha,AB,Alphaland,48.2331,16.35,199.0,,,Humid\n")
     r = read_dim_station(spark, folder).collect()[0]
     assert r.is_gsn == 0 and r.wmo_id is None and float(r.latitude) == 48.2331
+
+
+def test_build_warehouse_end_to_end(spark):
+    from stationlake.plans.warehouse import build_warehouse
+
+    root = tempfile.mkdtemp(prefix="stationlake-wh-")
+    raw = os.path.join(root, "raw")
+    os.makedirs(raw)
+    with open(os.path.join(raw, "AB000000001.dly"), "w") as f:
+        f.write(line("AB000000001", 2000, 2, "TMAX", {28: (215, " ", " ", "E"), 29: (220, " ", " ", "E"),
+                                                     30: (999, " ", " ", " ")}) + "\n")
+        f.write(line("AB000000001", 2000, 2, "TMIN", {28: (15, " ", " ", "E"), 29: (-9999, " ", " ", " ")}) + "\n")
+        f.write(line("AB000000001", 2000, 3, "PRCP", {1: (33, " ", "X", "E")}) + "\n")
+    with open(os.path.join(raw, "AB000000001.csv"), "w") as f:
+        f.write("ID,DATE,ELEMENT,DATA_VALUE,M_FLAG,Q_FLAG,S_FLAG,OBS_TIME\nAB000000001,20000228,TMAX,210,,,,\n")
+    stations = os.path.join(root, "dim_station.csv")
+    with open(stations, "w") as f:
+        f.write("station_id,station_name,country_code,country,latitude,longitude,elevation_m,is_gsn,wmo_id,climate_zone\n")
+        f.write("AB000000001,Alpha,AB,Alphaland,48.2331,16.35,199.0,1,11035,Humid\n")
+    tables, counts = build_warehouse(spark, raw, stations, out_dir=os.path.join(root, "wh"))
+    c = {r.table_name: r.row_count for r in counts.collect()}
+    # audit: TMAX 28 (csv wins), TMAX 29, TMIN 28, PRCP Mar 1 (flagged); curated: Feb 28, Feb 29
+    assert c == {"dim_station": 1, "dim_date": 3, "dim_element": 10, "observations": 4, "daily": 2}
+    d = {r.obs_date.day: r for r in tables["daily"].collect()}
+    assert float(d[28].tmax) == 21.0 and float(d[28].temp_range) == 19.5 and d[29].tmin is None
+    assert str(tables["daily"].schema["tmax"].dataType) == "DecimalType(5,1)"

@@ -32,8 +32,10 @@ def features(daily: DataFrame, start: str | None = None, drop_incomplete: bool =
     ``drop_incomplete``.
     """
     d = daily if start is None else daily.where(F.col("obs_date") >= F.to_date(F.lit(start)))
-    dense = densify_daily(d.select("station_id", "obs_date", "tmax", "tmin", "temp_range", "prcp"),
-                          ["tmax", "tmin", "temp_range", "prcp"])
+    # Measures are DECIMAL at rest; statistics and models work in DOUBLE.
+    d = d.select("station_id", "obs_date",
+                 *[F.col(c).cast("double").alias(c) for c in ("tmax", "tmin", "temp_range", "prcp")])
+    dense = densify_daily(d, ["tmax", "tmin", "temp_range", "prcp"])
     w = Window.partitionBy("station_id").orderBy("obs_date")
     prcp0 = F.coalesce(F.col("prcp"), F.lit(0.0))
     dense = dense.withColumn("prcp0", prcp0)

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from stationlake.functions import round_opt
+
 
 def densify_daily(daily: DataFrame, measures: Sequence[str], key: str = "station_id",
                   date_col: str = "obs_date") -> DataFrame:
@@ -97,13 +99,16 @@ def month_index(month_start: str | Column) -> Column:
 
 
 def monthly_series(daily: DataFrame, value: str = "tmax", first_year: int | None = None,
-                   last_year: int | None = None, min_days: int = 20, limit: int = 2) -> DataFrame:
+                   last_year: int | None = None, min_days: int = 20, limit: int = 2,
+                   digits: int | None = None) -> DataFrame:
     """Regular monthly mean series per station.
 
     Monthly mean of ``value`` with its support (days with a value); months
     with fewer than ``min_days`` are dropped, the month axis is densified and
     holes are filled by ``interpolate_limited``. Returns (station_id,
     month_start, avg_value, value) where ``value`` is the filled series.
+    ``digits=1`` reads the mean rounded like the monthly summary view (the
+    reference's seasonal model takes its input from that view).
     """
     d = daily
     if first_year is not None:
@@ -111,7 +116,9 @@ def monthly_series(daily: DataFrame, value: str = "tmax", first_year: int | None
     if last_year is not None:
         d = d.where(F.year("obs_date") <= last_year)
     m = d.groupBy("station_id", F.trunc("obs_date", "month").alias("month_start")).agg(
-        F.avg(value).alias("avg_value"), F.count(value).alias("days_reported"))
+        # DECIMAL input averages exactly, so rounding matches NUMERIC HALF_UP; DOUBLE after.
+        round_opt(F.avg(value), digits).cast("double").alias("avg_value"),
+        F.count(value).alias("days_reported"))
     m = m.where(F.col("days_reported") >= min_days).select("station_id", "month_start", "avg_value")
     dense = densify_monthly(m, ["avg_value"]).withColumn("_pos", month_index("month_start"))
     return interpolate_limited(dense, "avg_value", "_pos", limit=limit, out="value").drop("_pos")

@@ -60,3 +60,27 @@ def test_build_warehouse_end_to_end(spark):
     d = {r.obs_date.day: r for r in tables["daily"].collect()}
     assert float(d[28].tmax) == 21.0 and float(d[28].temp_range) == 19.5 and d[29].tmin is None
     assert str(tables["daily"].schema["tmax"].dataType) == "DecimalType(5,1)"
+
+
+def test_features_and_linear_fit_on_decimal_warehouse_table(spark):
+    """The curated table stores DECIMAL measures; features and the solver work in DOUBLE."""
+    import datetime as dt
+    import math
+
+    from pyspark.sql import functions as F
+
+    from stationlake.operators import features as FT
+    from stationlake.operators import models as M
+    from stationlake.schema import DAILY
+    from stationlake.sources.sinks import project
+
+    rows = [("AB000000001", dt.date(2001, 1, 1) + dt.timedelta(i), round(10 + 5 * math.sin(i / 9.0), 1),
+             round(2 + 5 * math.sin(i / 9.0) - (i % 3) * 0.1, 1), round((i % 7) * 0.3, 1)) for i in range(120)]
+    df = spark.createDataFrame(rows, "station_id string, obs_date date, tmax double, tmin double, prcp double")
+    df = df.withColumn("temp_range", F.col("tmax") - F.col("tmin")).withColumn("date_key", F.lit(0))
+    daily = project(df, DAILY.schema)
+    assert str(daily.schema["tmax"].dataType) == "DecimalType(5,1)"
+    feats = FT.features(daily)
+    assert all(str(feats.schema[c].dataType) in ("DoubleType()", "IntegerType()") for c in feats.columns[2:])
+    coefs = M.fit_linear(feats).collect()
+    assert len(coefs) == 1 and all(math.isfinite(c) for c in coefs[0].coefficients)

@@ -23,8 +23,6 @@ from stationlake.schema import FEATURE_COLUMNS, TARGET
 # delta = lag1 - lag2); dropping them makes the linear coefficients unique.
 DEPENDENT_FEATURES = ["temp_range_today", "tmax_delta_1d"]
 
-PRED_COLS = ["station_id", "obs_date", "month", "model", "actual", "predicted"]
-
 
 def persistence(test: DataFrame) -> DataFrame:
     """Tomorrow = today: the prediction is ``tmax_lag1``."""

@@ -86,7 +86,7 @@ SELECT station_id, obs_date, tmax, doy_mean, doy_std, (tmax - doy_mean) / nullif
 
 @register("doy_anomalies", W(f"""
 SELECT station_id, obs_date, tmax, {R("doy_mean")} AS doy_mean, {R("doy_std")} AS doy_std, {R("z")} AS z,
-       row_number() OVER (PARTITION BY station_id ORDER BY z DESC, obs_date) AS z_rank
+       CAST(row_number() OVER (PARTITION BY station_id ORDER BY z DESC, obs_date) AS INTEGER) AS z_rank
 FROM ({_Z}) WHERE abs(z) > {Z_THRESHOLD}""", "d"))
 def doy_anomalies(spark, sf):
     return r6(E.doy_anomalies(B.daily_sparse(spark, sf), threshold=Z_THRESHOLD))

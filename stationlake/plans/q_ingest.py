@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stationlake.operators import conform as C
 from stationlake.plans import bindings as B
 from stationlake.plans.registry import R, W, r6, register
-from stationlake.schema import DIM_STATION
+from stationlake.schema import DIM_STATION, ELEMENTS
 from stationlake.session import table_path
 from stationlake.sources import dims, sinks
 from stationlake.sources.fixed_width import parse_dly_lines, render_dly_lines
@@ -21,7 +21,6 @@ from stationlake.schema import REANALYSIS_JSON, STATION_CSV
 
 O_EL = ", ".join(repr(e) for e in B.O_ELEMENTS)
 O_TEN = ", ".join(repr(e) for e in B.O_TENTHS)
-RAW_COLS = ["station_id", "obs_date", "element", "value_raw", "mflag", "qflag", "sflag"]
 
 
 # --- fixed-width month records (binding L: D landed as TMAX, TMIN and an unlisted WT01) ---
@@ -192,8 +191,8 @@ def dim_station(spark, sf):
 
 @register("dim_element", W("""
 SELECT o.element, e.element_name, e.unit, count(*) AS n_observations
-FROM o_aud o LEFT JOIN (VALUES """ + ", ".join(f"('{c}', '{n}', '{u}')" for c, n, u in __import__(
-    "stationlake.schema", fromlist=["ELEMENTS"]).ELEMENTS) + """) e(element, element_name, unit)
+FROM o_aud o LEFT JOIN (VALUES """ + ", ".join(f"('{c}', '{n}', '{u}')" for c, n, u in ELEMENTS) + """)
+  e(element, element_name, unit)
   ON e.element = upper(o.element)
 GROUP BY 1, 2, 3""", "o_aud"))
 def dim_element(spark, sf):

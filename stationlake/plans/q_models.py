@@ -8,8 +8,6 @@ row counts plus the unit tests' invariants.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from stationlake.operators import features as FT
 from stationlake.operators import forecast as FC
 from stationlake.operators import models as M
@@ -17,7 +15,7 @@ from stationlake.plans import bindings as B
 from stationlake.plans.q_series import FEATURES_SQL, SPLIT, f_monthly, seasonal_naive_df
 from stationlake.plans.registry import R, W, r6, register
 from stationlake.schema import FEATURE_COLUMNS, TARGET
-from stationlake.session import materialize, table_path
+from stationlake.session import materialize
 from stationlake.sources import sinks
 
 RESPLIT = "2001-01-01"   # second scoring run for the upsert
@@ -86,7 +84,7 @@ def model_gate(spark, sf):
 
 @register("trend_slope", _sql(f"""
 SELECT station_id, {R(f"regr_slope({TARGET}, tmax_lag1)")} AS slope, {R(f"regr_intercept({TARGET}, tmax_lag1)")} AS intercept,
-       regr_count({TARGET}, tmax_lag1) AS n
+       CAST(regr_count({TARGET}, tmax_lag1) AS BIGINT) AS n
 FROM train GROUP BY 1"""))
 def trend_slope(spark, sf):
     train, _ = FT.split(_feats(spark, sf), SPLIT)

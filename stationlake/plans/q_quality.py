@@ -40,7 +40,7 @@ def decade_completeness(spark, sf):
                AS days_since_prev FROM d)
 SELECT g.station_id, n.station_name, count(*) FILTER (WHERE days_since_prev > 1) AS gap_count,
        max(days_since_prev) AS longest_gap_days
-FROM g JOIN n USING (station_id) GROUP BY g.station_id, n.station_name""", "d", "n").replace("\n, g AS", ", g AS"))
+FROM g JOIN n USING (station_id) GROUP BY g.station_id, n.station_name""", "d", "n"))
 def gap_analysis(spark, sf):
     return Q.gap_analysis(B.daily_sparse(spark, sf), B.dim_station(spark, sf))
 

@@ -100,7 +100,7 @@ def station_thresholds(spark, sf):
 
 @register("top_records", W(f"""
 SELECT station_id, obs_date, tmax, prior_record, beat_by, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY beat_by DESC, obs_date) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY station_id ORDER BY beat_by DESC, obs_date) AS INTEGER) AS rank
   FROM (SELECT *, {R("tmax - prior_record")} AS beat_by FROM ({_RECORD_SQL}) WHERE tmax > prior_record))
 WHERE rank <= 10""", "d"))
 def top_records(spark, sf):

@@ -31,15 +31,18 @@ def get_spark(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "st
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written tables and checkpoints.
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``.
-    Only when the session has none (local tests) is a scratch folder created
-    and registered as the checkpoint dir.
+    On a cluster this is the shared folder named by ``spark.checkpoint.dir``
+    (a cluster session without one is an error). Only a local session without
+    one (tests) gets a scratch folder, registered as the checkpoint dir.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         current = jdir.get() if jdir.isDefined() else None
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: written tables and checkpoints "
+                               "must survive the loss of an executor")
         current = tempfile.mkdtemp(prefix="stationlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
         spark.sparkContext.setCheckpointDir(current)

@@ -45,6 +45,21 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
     w.save(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, bucket_col: str, buckets: int,
+                   sort_by: Sequence[str] = ()) -> DataFrame:
+    """Save ``df`` as an external table bucketed (hash-partitioned) on ``bucket_col`` at ``path``.
+
+    Later windows and aggregates keyed on ``bucket_col`` read the buckets as
+    their partitions and need no shuffle; ``sort_by`` orders rows inside each
+    bucket file. Returns the table as a DataFrame.
+    """
+    w = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, bucket_col)
+    if sort_by:
+        w = w.sortBy(*sort_by)
+    w.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":

@@ -152,3 +152,13 @@ FROM (SELECT *, lag(value, 12) OVER (PARTITION BY station_id ORDER BY month_star
 WHERE split = 'test' GROUP BY station_id""", "f"))
 def seasonal_naive(spark, sf):
     return r6(seasonal_naive_df(f_monthly(spark, sf)))
+
+
+@register("feature_coverage", W(f"""
+SELECT c.station_id, c.dense_days, c.missing_days, coalesce(k.complete_rows, 0) AS complete_rows,
+       c.dense_days - coalesce(k.complete_rows, 0) AS dropped_rows
+FROM (SELECT station_id, count(*) AS dense_days, count(*) FILTER (WHERE tmax IS NULL) AS missing_days
+      FROM {dense_sql("f", "x.tmax")} GROUP BY 1) c
+LEFT JOIN (SELECT station_id, count(*) AS complete_rows FROM ({FEATURES_SQL}) GROUP BY 1) k USING (station_id)""", "f"))
+def feature_coverage(spark, sf):
+    return FT.feature_coverage(B.daily_dense(spark, sf))

@@ -29,7 +29,11 @@ _TABLES: dict[tuple, DataFrame] = {}
 
 def _session_key(spark: SparkSession) -> tuple:
     """Identity of a live session: its application id (unique per context) and the session object."""
-    return (spark.sparkContext.applicationId, id(spark))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        app = spark.conf.get("spark.app.id", None) or "remote"
+    return (app, id(spark))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,6 +28,9 @@ def get_spark(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "st
     return spark
 
 
+_SCRATCH: dict[int, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written tables and checkpoints.
 
@@ -36,16 +39,27 @@ def shared_dir(spark: SparkSession) -> str:
     one (tests) gets a scratch folder, registered as the checkpoint dir.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: configuration only
+        pass
+    if not current and sc is not None:
+        jdir = sc._jsc.sc().getCheckpointDir()
         current = jdir.get() if jdir.isDefined() else None
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: written tables and checkpoints "
                                "must survive the loss of an executor")
-        current = tempfile.mkdtemp(prefix="stationlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-        spark.sparkContext.setCheckpointDir(current)
+        current = _SCRATCH.get(id(spark)) or tempfile.mkdtemp(prefix="stationlake-ckpt-")
+        _SCRATCH[id(spark)] = current
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # core settings may be read-only at runtime; the memo above still holds it
+            pass
+        if sc is not None:
+            sc.setCheckpointDir(current)
     return current.rstrip("/")
 
 

@@ -102,3 +102,26 @@ def test_bucketed_curated_table_needs_no_shuffle_for_station_windows(spark):
     assert {r.table_name: r.row_count for r in counts.collect()}["daily"] == 2
     plan = V.rolling_climate(tables["daily"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_sql_surface_over_registered_views(spark):
+    from stationlake.plans.catalog import VIEW_NAMES, register_warehouse
+    from stationlake.plans.warehouse import build_warehouse
+
+    root = tempfile.mkdtemp(prefix="stationlake-sql-")
+    raw, stations = _land_raw(root)
+    tables, _ = build_warehouse(spark, raw, stations, out_dir=os.path.join(root, "wh"))
+    names = register_warehouse(spark, tables, start="2000-01-01", coverage_start="2000-02-01",
+                               coverage_end="2000-03-01", coverage=0.05)
+    assert set(VIEW_NAMES) <= set(names)
+    monthly = spark.sql("SELECT station_name, year, month, avg_tmax, days_reported FROM vw_monthly_summary").collect()
+    assert [(r.station_name, r.year, r.month, float(r.avg_tmax), r.days_reported) for r in monthly] == \
+        [("Alpha", 2000, 2, 21.5, 2)]
+    rec = spark.sql("""
+        SELECT d.obs_date, d.tmax, r.prior_record, d.month_name, d.season_nh
+        FROM vw_daily_weather d JOIN vw_record_days r USING (station_id, obs_date)
+        ORDER BY d.obs_date""").collect()
+    assert [(r.obs_date.day, float(r.tmax), r.prior_record, r.month_name, r.season_nh) for r in rec] == \
+        [(28, 21.0, None, "Feb", "Winter"), (29, 22.0, 21.0, "Feb", "Winter")]
+    ready = spark.sql("SELECT count(*) AS n FROM vw_model_ready").first().n
+    assert ready == 2

@@ -126,7 +126,7 @@ def _linear(spark, sf, feats=FEATURE_COLUMNS):
 @register("fit_linear")
 def fit_linear(spark, sf):
     coefs, test = _linear(spark, sf)
-    preds = M.predict_linear(test, coefs)
+    preds = materialize(M.predict_linear(test, coefs), "linear_predictions")
     return M.with_skill(M.scores(preds.unionByName(M.persistence(test))))
 
 

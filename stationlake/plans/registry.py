@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationlake.plans import bindings as B
-from stationlake.plans.bindings import with_bindings as W
+from stationlake.plans.bindings import with_bindings as W  # noqa: F401  (re-exported to the query modules)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stationlake.functions import blank_to_null
 from stationlake.operators.conform import ELEMENT_CODES
+from stationlake.operators.joins import join_dim
 from stationlake.schema import MISSING, STATION_CSV
 
 
@@ -46,7 +47,7 @@ def read_station_csv(spark: SparkSession, path: str, elements: Sequence[str] = E
                    F.monotonically_increasing_id().alias("line_id")))
     if stations is not None:
         stems = stations.select(F.concat(F.col("station_id"), F.lit(".csv")).alias("file_name"))
-        raw = raw.join(stems, "file_name", "left_semi")
+        raw = join_dim(raw, stems, "file_name", how="left_semi")
     return parse_station_csv(raw, elements, keep=("file_name", "line_id"))
 
 

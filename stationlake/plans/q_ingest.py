@@ -14,7 +14,7 @@ from stationlake.plans.registry import R, W, r6, register
 from stationlake.schema import DIM_STATION, ELEMENTS
 from stationlake.session import table_path
 from stationlake.sources import dims, sinks
-from stationlake.sources.fixed_width import parse_dly_lines, render_dly_lines
+from stationlake.sources.fixed_width import read_dly, render_dly_lines
 from stationlake.sources.reanalysis_json import explode_daily_arrays, pack_daily_arrays
 from stationlake.sources.station_csv import parse_station_csv, render_station_csv
 from stationlake.schema import REANALYSIS_JSON, STATION_CSV
@@ -39,7 +39,10 @@ def _l_long(spark, sf):
 
 
 def _l_parsed(spark, sf):
-    return parse_dly_lines(render_dly_lines(_l_long(spark, sf)))
+    """Binding L landed as month-record text files in the shared folder, then read by the file reader."""
+    path = table_path(spark, "dly_lines")
+    render_dly_lines(_l_long(spark, sf)).write.mode("overwrite").text(path)
+    return read_dly(spark, path, glob="*.txt").drop("file_name", "line_id")
 
 
 _L_SQL = """

@@ -56,9 +56,10 @@ def parse_dly_lines(lines: DataFrame, elements: Sequence[str] = ELEMENT_CODES, l
     )
 
 
-def read_dly(spark: SparkSession, path: str, elements: Sequence[str] = ELEMENT_CODES) -> DataFrame:
-    """Read ``*.dly`` files under ``path``; ``file_name`` and ``line_id`` record arrival order."""
-    lines = (spark.read.option("pathGlobFilter", "*.dly").text(path)
+def read_dly(spark: SparkSession, path: str, elements: Sequence[str] = ELEMENT_CODES,
+             glob: str = "*.dly") -> DataFrame:
+    """Read month-record files (``glob``) under ``path``; ``file_name`` and ``line_id`` record arrival order."""
+    lines = (spark.read.option("pathGlobFilter", glob).text(path)
              .select("value", F.col("_metadata.file_name").alias("file_name"),
                      F.monotonically_increasing_id().alias("line_id")))
     return parse_dly_lines(lines, elements, keep=("file_name", "line_id"))

@@ -70,12 +70,14 @@ def feature_coverage(daily: DataFrame, start: str | None = None) -> DataFrame:
     """Per station: days on the densified calendar, days missing there, complete feature rows, dropped rows.
 
     The counts the feature step reports: missing days made explicit by the
-    densify, and rows lost to warm-up windows, gaps and the final day.
+    densify, and rows lost to warm-up windows, gaps and the final day. One
+    pass over the feature rows before the incomplete ones are dropped.
     """
-    d = daily if start is None else daily.where(F.col("obs_date") >= F.to_date(F.lit(start)))
-    dense = densify_daily(d.select("station_id", "obs_date", F.col("tmax").cast("double").alias("tmax")), ["tmax"])
-    cal = dense.groupBy("station_id").agg(F.count(F.lit(1)).alias("dense_days"),
-                                          F.count_if(F.col("tmax").isNull()).alias("missing_days"))
-    done = features(d).groupBy("station_id").agg(F.count(F.lit(1)).alias("complete_rows"))
-    out = cal.join(done, "station_id", "left").fillna(0, ["complete_rows"])
+    f = features(daily, start, drop_incomplete=False)
+    complete = F.lit(True)
+    for c in [TARGET, *FEATURE_COLUMNS]:
+        complete = complete & F.col(c).isNotNull()
+    out = f.groupBy("station_id").agg(F.count(F.lit(1)).alias("dense_days"),
+                                      F.count_if(F.col("tmax_lag1").isNull()).alias("missing_days"),
+                                      F.count_if(complete).alias("complete_rows"))
     return out.withColumn("dropped_rows", F.col("dense_days") - F.col("complete_rows"))

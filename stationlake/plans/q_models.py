@@ -23,7 +23,9 @@ GBT_TREES = 20           # reference: 600 (the operator default); fewer keeps th
 
 
 def _feats(spark, sf):
-    return FT.features(B.daily_dense(spark, sf))
+    """Features written once to the shared folder: every scoring branch (train, test, baselines)
+    reads the table instead of re-running the raw scan and the feature windows."""
+    return materialize(FT.features(B.daily_dense(spark, sf)), "features")
 
 
 def _baseline_preds(feats, cutoff):
@@ -117,7 +119,7 @@ def score_upsert(spark, sf):
 # --- fitted models: rows-only checks ---
 
 def _linear(spark, sf, feats=FEATURE_COLUMNS):
-    f = materialize(_feats(spark, sf), "features")
+    f = _feats(spark, sf)
     train, test = FT.split(f, SPLIT)
     coefs = materialize(M.fit_linear(train, feats), "linear_coefficients")
     return coefs, test
@@ -138,7 +140,7 @@ def linear_coefficients(spark, sf):
 
 
 def _gbt(spark, sf):
-    f = materialize(_feats(spark, sf), "features")
+    f = _feats(spark, sf)
     train, test = FT.split(f, SPLIT)
     model, names = M.fit_gbt(train, max_iter=GBT_TREES)
     return model, names, test
@@ -164,5 +166,5 @@ def seasonal_forecast(spark, sf):
 
 @register("seasonal_gate")
 def seasonal_gate(spark, sf):
-    series = f_monthly(spark, sf)
+    series = materialize(f_monthly(spark, sf), "monthly_series")  # read by the forecast and the baseline
     return FC.forecast_gate(FC.seasonal_forecast(series, horizon=24), seasonal_naive_df(series))

@@ -24,12 +24,14 @@ NODES = ["BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNes
 
 
 def summarise(plan: str) -> str:
+    reused = len(re.findall(r"ReusedExchange", plan))
+    fresh = "\n".join(line for line in plan.splitlines() if "ReusedExchange" not in line)
     exchanges = re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)"
-                           r"\(?([^,\]\)]*)", plan)
+                           r"\(?([^,\]\)]*)", fresh)
     keys = [f"{kind}({re.sub(r'#[0-9]+L?', '', k).strip()})" if k else kind for kind, k in exchanges]
     counts = Counter(n for n in NODES for _ in re.finditer(rf"\b{n}\b", plan))
     pushed = sorted({p for p in re.findall(r"PushedFilters: \[([^\]]+)\]", plan)})
-    parts = [f"exchanges {len(keys)}: {', '.join(keys) or '-'}",
+    parts = [f"exchanges {len(keys)}: {', '.join(keys) or '-'}" + (f" (+{reused} reused)" if reused else ""),
              "nodes: " + ", ".join(f"{n}x{c}" for n, c in counts.items())]
     if pushed:
         parts.append("pushed: " + "; ".join(re.sub(r"#[0-9]+L?", "", p) for p in pushed))

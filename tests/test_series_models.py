@@ -149,3 +149,15 @@ def test_monthly_series_support_and_holdout(spark):
     assert [r.avg_value for r in ser][2] is None and ser[2].value == pytest.approx(3.0)  # interpolated hole
     split = S.holdout_split(S.monthly_series(df, "tmax", min_days=20), horizon=2).orderBy("month_start").collect()
     assert [r.split for r in split] == ["train"] * 4 + ["test"] * 2
+
+
+def test_seasonal_forecast_skips_short_series(spark):
+    months = [dt.date(2000 + i // 12, i % 12 + 1, 1) for i in range(120)]
+    rows = [("LONG", m, float(10 + 8 * math.sin(2 * math.pi * i / 12))) for i, m in enumerate(months)]
+    rows += [("SHORT", m, 5.0) for m in months[:30]] + [("HOLEY", m, None if i % 5 == 0 else 3.0 + i % 12)
+                                                      for i, m in enumerate(months)]
+    df = spark.createDataFrame(rows, "station_id string, month_start date, value double")
+    out = FC.seasonal_forecast(df, horizon=24)
+    counts = {r.station_id: r.n for r in out.groupBy("station_id").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"LONG": 24, "HOLEY": 24}
+    assert out.where(F.col("forecast").isNull() | F.isnan("forecast")).count() == 0

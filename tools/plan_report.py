@@ -4,7 +4,7 @@ usage: python tools/plan_report.py [sf_dir] > PLANS.md
 
 Per query: shuffle exchanges (with their keys), join strategies, aggregate
 kinds, window/top-k nodes, Python nodes and the filters pushed into scans.
-Fitted-model queries run jobs while they are built and are listed without a plan.
+Queries that write a table or fit a model while they are built show the plan of their final step.
 """
 
 from __future__ import annotations
@@ -23,19 +23,74 @@ NODES = ["BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNes
          "MapInPandas", "BatchEvalPython", "ArrowEvalPython"]
 
 
+def _balanced(text: str, start: int, open_ch: str = "(", close_ch: str = ")") -> str:
+    """The text between the bracket at ``start`` and its matching closing bracket."""
+    depth = 0
+    for i in range(start, len(text)):
+        if text[i] == open_ch:
+            depth += 1
+        elif text[i] == close_ch:
+            depth -= 1
+            if depth == 0:
+                return text[start + 1:i]
+    return text[start + 1:]
+
+
+def _top_level_split(text: str) -> list[str]:
+    """Split on commas that are not nested in brackets."""
+    parts, depth, cur = [], 0, []
+    for ch in text:
+        if ch in "([":
+            depth += 1
+        elif ch in ")]":
+            depth -= 1
+        if ch == "," and depth == 0:
+            parts.append("".join(cur).strip())
+            cur = []
+        else:
+            cur.append(ch)
+    if cur:
+        parts.append("".join(cur).strip())
+    return parts
+
+
+def _clean(expr: str) -> str:
+    return re.sub(r"#[0-9]+L?", "", expr)
+
+
+def exchange_keys(plan: str) -> list[str]:
+    """One entry per (non-reused) shuffle: its partitioning with the full key list."""
+    out = []
+    for m in re.finditer(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)",
+                         plan):
+        kind = m.group(1)
+        if kind == "SinglePartition":
+            out.append(kind)
+            continue
+        args = _top_level_split(_balanced(plan, m.end()))
+        keys = args[:-1] if args and args[-1].isdigit() else args  # last argument: partition count
+        out.append(f"{kind}({', '.join(_clean(k) for k in keys)})")
+    return out
+
+
+def pushed_filters(plan: str) -> list[str]:
+    found = set()
+    for m in re.finditer(r"PushedFilters: ", plan):
+        found.add(_clean(_balanced(plan, m.end(), "[", "]")))
+    return sorted(f for f in found if f)
+
+
 def summarise(plan: str) -> str:
     reused = len(re.findall(r"ReusedExchange", plan))
     fresh = "\n".join(line for line in plan.splitlines() if "ReusedExchange" not in line)
-    exchanges = re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)"
-                           r"\(?([^,\]\)]*)", fresh)
-    keys = [f"{kind}({re.sub(r'#[0-9]+L?', '', k).strip()})" if k else kind for kind, k in exchanges]
+    keys = exchange_keys(fresh)
     counts = Counter(n for n in NODES for _ in re.finditer(rf"\b{n}\b", plan))
-    pushed = sorted({p for p in re.findall(r"PushedFilters: \[([^\]]+)\]", plan)})
-    parts = [f"exchanges {len(keys)}: {', '.join(keys) or '-'}" + (f" (+{reused} reused)" if reused else ""),
+    pushed = pushed_filters(plan)
+    parts = [f"exchanges {len(keys)}: {'; '.join(keys) or '-'}" + (f" (+{reused} reused)" if reused else ""),
              "nodes: " + ", ".join(f"{n}x{c}" for n, c in counts.items())]
     if pushed:
-        parts.append("pushed: " + "; ".join(re.sub(r"#[0-9]+L?", "", p) for p in pushed))
-    return " | ".join(parts)
+        parts.append("pushed: " + "; ".join(pushed))
+    return " | ".join(part.replace("|", "\\|") for part in parts)
 
 
 def main() -> None:
@@ -48,11 +103,10 @@ def main() -> None:
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local mode; broadcast choices depend on sizes).\n")
     print("| query | plan summary |\n| --- | --- |")
     for name, fn in QUERIES.items():
-        if name in BUILD_RUNS_JOBS:
-            print(f"| `{name}` | (runs jobs while building: writes a table or fits a model first) |")
-            continue
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-        print(f"| `{name}` | {summarise(plan)} |")
+        note = " (plan of the final read; building it wrote a table or fitted a model first)" \
+            if name in BUILD_RUNS_JOBS else ""
+        print(f"| `{name}` | {summarise(plan)}{note} |")
 
 
 if __name__ == "__main__":

@@ -51,13 +51,25 @@ def _append_new_grains(audit_path: str, tenths: Sequence[str]):
         spark = batch.sparkSession
         conformed = C.blank_flags(C.drop_missing(batch))
         first = C.dedupe_first(conformed, C.GRAIN, ["file_name"])
-        rows = C.add_date_key(C.unit_scale(first, tenths)).select(*AUDIT_COLS)
+        staged = C.add_date_key(C.unit_scale(first, tenths)).select(*AUDIT_COLS).persist()
         try:
-            existing = spark.read.parquet(audit_path).select("station_id", "obs_date", "element")
-            rows = rows.join(existing, ["station_id", "obs_date", "element"], "left_anti")
-        except AnalysisException:  # first batch: no table yet
-            pass
-        rows.write.mode("append").parquet(audit_path)
+            rows = staged
+            try:
+                # Only the batch's date range of the audit table can hold its grains: the range
+                # (one aggregated row) goes into the scan as a pushed filter, so row groups and
+                # date partitions outside it are skipped instead of reading every key ever written.
+                lo, hi = staged.agg(F.min("obs_date"), F.max("obs_date")).first()
+                if lo is None:
+                    return
+                existing = (spark.read.parquet(audit_path)
+                            .where(F.col("obs_date").between(F.lit(lo), F.lit(hi)))
+                            .select("station_id", "obs_date", "element"))
+                rows = staged.join(existing, ["station_id", "obs_date", "element"], "left_anti")
+            except AnalysisException:  # first batch: no table yet
+                pass
+            rows.write.mode("append").parquet(audit_path)
+        finally:
+            staged.unpersist()
     return write
 
 

@@ -46,6 +46,13 @@ def landed_stream(spark: SparkSession, landing_dir: str, fmt: str = "csv",
     raise ValueError(f"unknown landed format {fmt!r}")
 
 
+def existing_grains(spark: SparkSession, audit_path: str, lo, hi) -> DataFrame:
+    """Grains of the audit table dated ``lo`` .. ``hi`` (the range is pushed into the Parquet scan)."""
+    return (spark.read.parquet(audit_path)
+            .where(F.col("obs_date").between(F.lit(lo), F.lit(hi)))
+            .select("station_id", "obs_date", "element"))
+
+
 def _append_new_grains(audit_path: str, tenths: Sequence[str]):
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
@@ -61,10 +68,8 @@ def _append_new_grains(audit_path: str, tenths: Sequence[str]):
                 lo, hi = staged.agg(F.min("obs_date"), F.max("obs_date")).first()
                 if lo is None:
                     return
-                existing = (spark.read.parquet(audit_path)
-                            .where(F.col("obs_date").between(F.lit(lo), F.lit(hi)))
-                            .select("station_id", "obs_date", "element"))
-                rows = staged.join(existing, ["station_id", "obs_date", "element"], "left_anti")
+                rows = staged.join(existing_grains(spark, audit_path, lo, hi),
+                                   ["station_id", "obs_date", "element"], "left_anti")
             except AnalysisException:  # first batch: no table yet
                 pass
             rows.write.mode("append").parquet(audit_path)

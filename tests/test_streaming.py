@@ -1,9 +1,10 @@
 """Incremental ingest: landed files drain into the audit table, first arrival wins, reruns add nothing."""
 
+import datetime as dt
 import os
 import tempfile
 
-from stationlake.streaming.ingest import ingest_landed
+from stationlake.streaming.ingest import existing_grains, ingest_landed
 
 HEADER = "ID,DATE,ELEMENT,DATA_VALUE,M_FLAG,Q_FLAG,S_FLAG,OBS_TIME\n"
 
@@ -32,3 +33,8 @@ def test_landed_csv_ingest(spark):
     # nothing new landed: a rerun appends nothing
     ingest_landed(spark, landing, audit, checkpoint=ckpt)
     assert spark.read.parquet(audit).count() == 2
+    # a batch is checked only against its own date range, and the range reaches the scan
+    grains = existing_grains(spark, audit, dt.date(2001, 1, 2), dt.date(2001, 1, 3))
+    assert [(r.obs_date.day, r.element) for r in grains.collect()] == [(3, "TMIN")]
+    plan = grains._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(obs_date,2001-01-02)" in plan and "LessThanOrEqual(obs_date,2001-01-03)" in plan

@@ -12,6 +12,15 @@ Layout
 Every operator keys on ``station_id`` and never pulls rows to the driver.
 """
 
-from stationlake.session import get_spark, shared_dir
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package that run in Python workers (the grouped forecast, the
+# linear solve) are shipped by value, so executors need pyspark, numpy and pandas
+# but not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from stationlake.session import get_spark, shared_dir  # noqa: E402
 
 __all__ = ["get_spark", "shared_dir"]

@@ -29,11 +29,14 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     Reads at most ``max_rows + 1`` rows, so the check itself is bounded. The
     row bound is tightened so that rows x estimated width stays under
     ``MAX_BROADCAST_BYTES``. The answer is remembered for the session per
-    (plan, input files), so a dimension joined by many queries is counted once.
+    (plan, input files and their size), so a dimension joined by many queries is counted once.
     """
     max_rows = min(max_rows, MAX_BROADCAST_BYTES // _row_bytes(df))
     try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+        # files and their total size (the planner's estimate, from the listing): a dimension
+        # rewritten in place under the same names is counted again
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), size, max_rows)
     except Exception:  # plans without a stable hash are simply checked each time
         key = None
     if key is not None and key in _CHECKED:

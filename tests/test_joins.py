@@ -32,3 +32,14 @@ def test_dimension_over_the_bound_is_not_broadcast(spark):
     plan = _with_auto_broadcast_off(spark, lambda: _plan(joined))
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     assert joined.count() == 1000
+
+
+def test_rewritten_dimension_is_counted_again(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "dim.parquet")  # one file, rewritten in place under the same name
+    pq.write_table(pa.table({"k": list(range(5))}), path)
+    assert fits_broadcast(spark.read.parquet(path), max_rows=10)
+    pq.write_table(pa.table({"k": list(range(500))}), path)
+    assert not fits_broadcast(spark.read.parquet(path), max_rows=10)

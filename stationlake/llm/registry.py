@@ -4,22 +4,71 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stationlake.llm import bpe, quality_rules
+from stationlake.llm import (bpe, chat_format, ctw, html_text, line_dedup, mixing, near_dedup, passages, quality_rules,
+                             topk_index)
 from stationlake.llm.common import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return topk_index.search(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
+
+
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rendered = chat_format.rotate(read_table(spark, sf_dir, "conversations"))
+    span = F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string")))
+    return rendered.select(
+        "conv_id", "perspective", "part", F.col("n_turns").cast("bigint").alias("n_turns"),
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)").alias("n_target_chars"),
+        F.sha2("text", 256).alias("text_sha256"), F.array_join(span, ",").alias("spans"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (quality_rules.quality(read_table(spark, sf_dir, "documents"))
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", "kept"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (line_dedup.dedup_lines(docs)
+            .select("doc_id", "n_lines", "n_removed", "n_runs", "longest_run",
+                    F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")))
+
+
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(read_table(spark, sf_dir, "documents"))
+
+
+def op7_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.repeated_passages(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return passages.with_classes(found)
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
+    return html_text.extract(pages).select("page_id", "n_text_chars", "n_text_lines", "text")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
+                        "source", "copies")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op10_byte_bpe)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_topk_search, op2_near_dedup, op3_chat_format, op4_quality_rules, op5_line_dedup,
+                                   op6_context_tree, op7_fuzzy_passages, op8_html_text, op9_mixing, op10_byte_bpe)}
+ORACLE: dict[str, str] = {"op3_chat_format": chat_format.ORACLE}

@@ -7,7 +7,6 @@ Layout
   operators/  conform, quality audits, views, series, EDA, features, models,
               forecasts -- each a function DataFrame -> DataFrame
   plans/      the test bindings on the driver's tables and the query registry
-  streaming/  incremental ingest of landed files with Structured Streaming
 
 Every operator keys on ``station_id`` and never pulls rows to the driver.
 """

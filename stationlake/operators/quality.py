@@ -108,14 +108,6 @@ def null_violations(df: DataFrame, table_name: str, columns: Iterable[str]) -> D
                        F.col("null_count").cast("bigint").alias("null_count"))
 
 
-def contract_null_violations(tables: dict[str, tuple[DataFrame, Contract]]) -> DataFrame:
-    out = None
-    for name, (df, contract) in tables.items():
-        part = null_violations(df, name, contract.not_null)
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
 def fk_violations(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
                   constraint_name: str) -> DataFrame:
     """Rows of ``child`` whose key has no parent, counted (anti join + one aggregate)."""
@@ -150,20 +142,62 @@ def decimal_contract(df: DataFrame, precision: dict[str, tuple[int, int]],
     return row.select(stacked.alias("v")).select("v.*")
 
 
+def contract_report(df: DataFrame, contract: Contract, refs: dict[str, DataFrame] | None = None) -> DataFrame:
+    """table_name, rule, column_name, violations: every rule of the contract on ``df``.
+
+    Rules: ``key`` and ``unique`` (rows beyond the first of a key), ``not_null``,
+    ``type`` (a value that the declared type can't hold), ``length``, and ``fk``
+    for each reference whose parent is in ``refs``. One pass for the row rules;
+    keys and references are aggregated map-side first.
+    """
+    name = F.lit(contract.name)
+    kind = {f.name: f.dataType for f in contract.schema.fields}
+    rules = [("not_null", c, F.col(c).isNull()) for c in contract.not_null if c in df.columns]
+    rules += [("type", c, F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()) for c, t in kind.items() if c in df.columns]
+    rules += [("length", c, F.length(c) > n) for c, n in contract.max_length.items() if c in df.columns]
+    counts = df.agg(*[F.count_if(bad).alias(f"r{i}") for i, (_, _, bad) in enumerate(rules)])
+    out = counts.select(F.explode(F.array(*[
+        F.struct(F.lit(r).alias("rule"), F.lit(c).alias("column_name"), F.col(f"r{i}").cast("bigint").alias("violations"))
+        for i, (r, c, _) in enumerate(rules)])).alias("v")).select(name.alias("table_name"), "v.*")
+    for rule, key in [("key", contract.key), *[("unique", (c,)) for c in contract.unique]]:
+        more = duplicate_grain(df, key).agg(F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).cast("bigint").alias("violations"))
+        out = out.unionByName(more.select(name.alias("table_name"), F.lit(rule).alias("rule"),
+                                          F.lit(",".join(key)).alias("column_name"), "violations"))
+    for c, (parent, parent_col) in contract.references.items():
+        if refs and parent in refs:
+            fk = fk_violations(df, c, refs[parent], parent_col, c)
+            out = out.unionByName(fk.select(name.alias("table_name"), F.lit("fk").alias("rule"),
+                                            F.lit(c).alias("column_name"), "violations"))
+    return out
+
+
+class ContractError(ValueError):
+    """A strict load met rows that break the table's contract."""
+
+
+def enforce(df: DataFrame, contract: Contract, refs: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``df`` if it keeps every rule of ``contract``; else ContractError with the counts (a job runs here)."""
+    bad = contract_report(df, contract, refs).where("violations > 0").collect()
+    if bad:
+        raise ContractError("; ".join(f"{r['table_name']}: {r['violations']} rows break {r['rule']}({r['column_name']})"
+                                      for r in bad))
+    return df
+
+
 def model_ready(daily: DataFrame, start: str = "1960-01-01", coverage_start: str = "1990-01-01",
                 coverage_end: str = "2018-03-01", coverage: float = 0.95) -> DataFrame:
     """Curated rows from ``start`` on, for stations whose tmax coverage since
     ``coverage_start`` reaches ``coverage`` of the days up to ``coverage_end``.
 
-    The coverage count is a window aggregate over the station (the semi join
-    on the aggregated subquery, without scanning and shuffling the fact twice).
+    The coverage is a pruned aggregate (partial counts are exchanged) and the
+    rows are kept by a semi join on the few qualifying stations, so the fact
+    itself is not shuffled.
     """
     cs = F.to_date(F.lit(coverage_start))
     span = F.datediff(F.to_date(F.lit(coverage_end)), cs)
-    n = F.count(F.when(F.col("obs_date") >= cs, F.col("tmax"))).over(Window.partitionBy("station_id"))
-    marked = daily.withColumn("_covered", n)
-    rows = marked.where((F.col("obs_date") >= F.to_date(F.lit(start))) & (F.col("_covered") >= F.lit(coverage) * span))
-    return rows.drop("_covered")
+    covered = daily.where(F.col("obs_date") >= cs).groupBy("station_id").agg(F.count("tmax").alias("n"))
+    ready = covered.where(F.col("n") >= F.lit(coverage) * span).select("station_id")
+    return join_dim(daily.where(F.col("obs_date") >= F.to_date(F.lit(start))), ready, "station_id", how="left_semi")
 
 
 def qualified_stations(ready: DataFrame, stations: DataFrame) -> DataFrame:

@@ -74,7 +74,10 @@ def binding(fn):
     still executes it in full -- nothing is cached.
     """
     def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (fn.__name__, _session_key(spark), sf_dir.rstrip("/"), _stamp(sf_dir))
+        stamp = _stamp(sf_dir)
+        if not stamp:  # a path that only Spark can list: its files may change unseen
+            return fn(spark, sf_dir)
+        key = (fn.__name__, _session_key(spark), sf_dir.rstrip("/"), stamp)
         if key not in _BINDINGS:
             _BINDINGS[key] = fn(spark, sf_dir)
         return _BINDINGS[key]

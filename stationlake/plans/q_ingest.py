@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from stationlake.operators import conform as C
 from stationlake.plans import bindings as B
 from stationlake.plans.registry import R, W, r6, register
+from stationlake.plans.landing import land_named, pack_daily_arrays, render_dly_lines, render_station_csv
 from stationlake.schema import DIM_STATION, ELEMENTS
 from stationlake.session import table_path
 from stationlake.sources import dims, sinks
-from stationlake.sources.fixed_width import read_dly, render_dly_lines
-from stationlake.sources.reanalysis_json import explode_daily_arrays, pack_daily_arrays
-from stationlake.sources.station_csv import parse_station_csv, render_station_csv
-from stationlake.schema import REANALYSIS_JSON, STATION_CSV
+from stationlake.sources.fixed_width import read_dly
+from stationlake.sources.reanalysis_json import read_reanalysis
+from stationlake.sources.station_csv import read_station_csv
 
 O_EL = ", ".join(repr(e) for e in B.O_ELEMENTS)
 O_TEN = ", ".join(repr(e) for e in B.O_TENTHS)
@@ -58,14 +58,20 @@ def parse_fixed_width(spark, sf):
     return _l_parsed(spark, sf)
 
 
-# --- by-station CSV (binding O landed as CSV lines; values below 0.10 written as -9999) ---
+# --- by-station CSV (binding O landed as CSV files; values below 0.10 written as -9999) ---
 
 def _o_csv_parsed(spark, sf):
+    """Binding O landed in two folders whose headers differ in order, case and padding, then read by header name."""
     o = B.observations_raw(spark, sf)
     o = o.withColumn("value_raw", F.when(F.col("value_raw") < 10, F.lit(-9999)).otherwise(F.col("value_raw")))
-    text = render_station_csv(o, keep=("arrival",)).select(F.concat_ws(",", *STATION_CSV.fieldNames()).alias("line"), "arrival")
-    raw = text.select(F.from_csv("line", ", ".join(f"{n} STRING" for n in STATION_CSV.fieldNames())).alias("r"), "arrival").select("r.*", "arrival")
-    return parse_station_csv(raw, B.O_ELEMENTS, keep=("arrival",))
+    text = render_station_csv(o, keep=("arrival",))
+    path = table_path(spark, "station_csv")
+    even = F.col("arrival") % 2 == 0
+    text.where(even).write.csv(f"{path}/a", header=True)
+    names = ["Q_FLAG", "ELEMENT", "ID", "M_FLAG", "arrival", "DATA_VALUE", "S_FLAG", "DATE", "OBS_TIME"]
+    text.where(~even).select(*[F.col(n).alias(f" {n.lower()} ") for n in names]).write.csv(f"{path}/b", header=True)
+    rows = read_station_csv(spark, [f"{path}/a", f"{path}/b"], B.O_ELEMENTS, keep=("arrival",))
+    return rows.drop("file_name", "line_id").withColumn("arrival", F.col("arrival").cast("bigint"))
 
 
 _CSV_SQL = f"""
@@ -79,16 +85,29 @@ def parse_station_csv_q(spark, sf):
     return _o_csv_parsed(spark, sf)
 
 
+# --- both formats in one folder: L as month records, and part of its grains again, one higher, as station files ---
+
 @register("ingest_union", W(f"""
-SELECT station_id, obs_date, element, value_raw, mflag, qflag, sflag, source_rank, arrival FROM (
-  SELECT *, row_number() OVER (PARTITION BY station_id, obs_date, element ORDER BY source_rank, arrival) AS rn
-  FROM (SELECT *, 0 AS source_rank FROM ({_CSV_SQL})
-        UNION ALL BY NAME SELECT *, 1 AS source_rank, CAST(0 AS BIGINT) AS arrival FROM ({_L_SQL})))
-WHERE rn = 1""", "d", "o_raw"))
+SELECT l.station_id, l.obs_date, l.element,
+       CASE WHEN l.element = 'TMAX' AND day(l.obs_date) % 2 = 0 THEN l.value_raw + 1 ELSE l.value_raw END AS value_raw,
+       l.mflag, CASE WHEN l.element = 'TMAX' AND day(l.obs_date) % 2 = 0 THEN NULL ELSE l.qflag END AS qflag, l.sflag,
+       CASE WHEN l.element = 'TMAX' AND day(l.obs_date) % 2 = 0 THEN 0 ELSE 1 END AS source_rank
+FROM ({_L_SQL}) l""", "d"))
 def ingest_union(spark, sf):
-    csv = _o_csv_parsed(spark, sf).withColumn("source_rank", F.lit(0))
-    dly = _l_parsed(spark, sf).withColumn("source_rank", F.lit(1)).withColumn("arrival", F.lit(0).cast("bigint"))
-    return C.dedupe_first(C.ingest_union(csv, dly), C.GRAIN, ["source_rank", "arrival"])
+    """CSV wins where both formats hold a grain; a file of an unknown station is skipped."""
+    long = _l_long(spark, sf)
+    path = f"{table_path(spark, 'mixed_archive')}/raw"  # <station>.dly and <station>.csv side by side
+    lines = render_dly_lines(long).withColumn("stem", F.trim(F.substring("value", 1, 11)))
+    land_named(spark, lines, "stem", path, "text", ".dly")
+    again = long.where((F.col("element") == "TMAX") & (F.dayofmonth("obs_date") % 2 == 0)).withColumns(
+        {"value_raw": F.col("value_raw") + 1, "qflag": F.lit(None).cast("string")})
+    unknown = again.withColumn("stem", F.concat(F.lit("no-station-"), F.col("station_id")))
+    named = again.withColumn("stem", F.col("station_id")).unionByName(unknown.withColumn("value_raw", F.lit(7)))
+    land_named(spark, render_station_csv(named, keep=("stem",)), "stem", path, "csv", ".csv", header=True)
+    stations = B.daily_sparse(spark, sf).select("station_id").distinct()
+    first = C.dedupe_first(C.ingest_union(read_station_csv(spark, path, stations=stations), read_dly(spark, path)))
+    return first.select("station_id", "obs_date", "element", "value_raw", "mflag", "qflag", "sflag",
+                        F.when(F.col("file_name").endswith(".csv"), 0).otherwise(1).alias("source_rank"))
 
 
 # --- conform steps on binding O ---
@@ -178,18 +197,23 @@ _JSON_MAP = {"temperature_2m_max": "tmax", "temperature_2m_min": "tmin",
 SELECT station_id, obs_date, tmax AS temperature_2m_max, tmin AS temperature_2m_min,
        {R("tavg")} AS temperature_2m_mean, {R("prcp")} AS precipitation_sum FROM d""", "d"))
 def json_parallel_arrays(spark, sf):
+    """One response file a station, landed and read by the file reader."""
     packed = pack_daily_arrays(B.daily_sparse(spark, sf), _JSON_MAP)
-    landed = packed.select("station_id", F.to_json(F.struct("daily")).alias("body"))
-    parsed = landed.select("station_id", F.from_json("body", REANALYSIS_JSON).alias("j")).select("station_id", "j.daily")
-    rows = explode_daily_arrays(parsed)
-    return r6(rows.select("station_id", "obs_date", *_JSON_MAP))
+    path = table_path(spark, "reanalysis")
+    whole = packed.groupBy("station_id").agg(F.struct(*[
+        F.flatten(F.collect_list(F.col(f"daily.{n}"))).alias(n) for n in ("time", *_JSON_MAP)]).alias("daily"))
+    land_named(spark, whole.select(F.col("station_id").alias("stem"), "daily"), "stem", path, "json", ".json")
+    return r6(read_reanalysis(spark, path).select("station_id", "obs_date", *_JSON_MAP))
 
 
 # --- dimensions ---
 
 @register("dim_station", W("SELECT * FROM n", "n"))
 def dim_station(spark, sf):
-    return B.dim_station(spark, sf)
+    """The station file, landed as CSV and read by the file reader."""
+    path = table_path(spark, "dim_station_file")
+    sinks.write_table(B.dim_station(spark, sf), path, fmt="csv")
+    return dims.read_dim_station(spark, path)
 
 
 @register("dim_element", W("""

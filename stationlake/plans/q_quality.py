@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationlake.operators import quality as Q
 from stationlake.plans import bindings as B
 from stationlake.plans.registry import R, W, r6, register
+from stationlake.schema import ELEMENTS, Contract
+from stationlake.sources import dims
 
 # Bounds for binding D, whose "temperatures" are order prices and "precipitation" is F-order
 # value / 1000; the reference bounds (50 / -60 / 500) are the operator default.
@@ -130,6 +133,73 @@ def decimal_contract(spark, sf):
     return Q.decimal_contract(B.daily_sparse(spark, sf), D_PRECISION, {"station_id": 11})
 
 
+# The contracts on the bindings: DECIMAL and length limits that some of the rows break.
+_SMALL = T.DecimalType(6, 1)
+_C_TABLES = {
+    "daily": Contract("daily", T.StructType([T.StructField("station_id", T.StringType(), False),
+                                             T.StructField("date_key", T.IntegerType(), False),
+                                             T.StructField("tmax", _SMALL), T.StructField("prcp", T.DecimalType(5, 1))]),
+                      key=("station_id", "date_key"), references={"station_id": ("dim_station", "station_id"),
+                                                                  "date_key": ("dim_date", "date_key")},
+                      max_length={"station_id": 11}),
+    "observations": Contract("observations", T.StructType([T.StructField("station_id", T.StringType(), False),
+                                                           T.StructField("element", T.StringType(), False),
+                                                           T.StructField("qflag", T.StringType())]),
+                             key=("station_id", "date_key", "element"), references={"element": ("dim_element", "element")},
+                             max_length={"element": 5, "qflag": 1}),
+    "dim_station": Contract("dim_station", T.StructType([T.StructField("station_id", T.StringType(), False),
+                                                         T.StructField("is_gsn", T.ShortType(), False)]),
+                            key=("station_id",), unique=("station_name",), max_length={"station_id": 11, "country": 9}),
+    "dim_date": Contract("dim_date", T.StructType([T.StructField("date", T.DateType(), False)]), key=("date_key",),
+                         unique=("date",)),
+    "dim_element": Contract("dim_element", T.StructType([T.StructField("element_name", T.StringType(), False)]),
+                            key=("element",), max_length={"element": 4}),
+}
+
+
+def _contract_sql() -> str:
+    days = "(SELECT unnest(generate_series(min(obs_date), max(obs_date), INTERVAL 1 DAY)) AS d FROM d)"
+    tables = {"daily": "SELECT * FROM d", "observations": "SELECT * FROM o_aud", "dim_station": "SELECT * FROM n",
+              "dim_date": f"SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS date FROM {days}",
+              "dim_element": "SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{n}', '{u}')" for c, n, u in ELEMENTS)
+                             + ") e(element, element_name, unit)"}
+    casts = {"decimal(6,1)": "DECIMAL(6,1)", "decimal(5,1)": "DECIMAL(5,1)", "string": "VARCHAR", "int": "INTEGER",
+             "smallint": "SMALLINT", "date": "DATE"}
+    parts = []
+
+    def add(t, rule, col, count):
+        parts.append(f"SELECT '{t}' AS table_name, '{rule}' AS rule, '{col}' AS column_name, CAST(({count}) AS BIGINT) AS violations")
+
+    for t, c in _C_TABLES.items():
+        src = f"({tables[t]})"
+        for f in c.schema.fields:
+            if not f.nullable:
+                add(t, "not_null", f.name, f"SELECT count(*) FROM {src} WHERE {f.name} IS NULL")
+            add(t, "type", f.name, f"SELECT count(*) FROM {src} WHERE {f.name} IS NOT NULL AND "
+                                   f"TRY_CAST({f.name} AS {casts[f.dataType.simpleString()]}) IS NULL")
+        for col, n in c.max_length.items():
+            add(t, "length", col, f"SELECT count(*) FROM {src} WHERE length({col}) > {n}")
+        for rule, key in [("key", c.key), *[("unique", (u,)) for u in c.unique]]:
+            add(t, rule, ",".join(key), f"SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM {src} GROUP BY {', '.join(key)})")
+        for col, (parent, pcol) in c.references.items():
+            add(t, "fk", col, f"SELECT count(*) FROM {src} x WHERE x.{col} IS NOT NULL AND "
+                              f"x.{col} NOT IN (SELECT {pcol} FROM ({tables[parent]}))")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("contract_report", W(_contract_sql(), "d", "o_aud", "n"))
+def contract_report(spark, sf):
+    """Every rule of the five tables' contracts, with its number of violations."""
+    daily = B.daily_sparse(spark, sf)
+    tables = {"daily": daily, "observations": B.observations_audit(spark, sf), "dim_station": B.dim_station(spark, sf),
+              "dim_date": dims.dim_date(daily), "dim_element": dims.dim_element(spark)}
+    out = None
+    for name, df in tables.items():
+        part = Q.contract_report(df, _C_TABLES[name], tables)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # model_ready on D: stations with tmax on at least 22 % of the days from 1996-01-01 to 2001-08-01.
 READY = dict(start="1995-06-01", coverage_start="1996-01-01", coverage_end="2001-08-01", coverage=0.22)
 

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.operators import conform as C
-from stationlake.schema import DAILY, OBSERVATIONS, TENTHS
+from stationlake.operators.quality import enforce
+from stationlake.schema import CONTRACTS, DAILY, OBSERVATIONS, TENTHS
 from stationlake.session import shared_dir
 from stationlake.sources import dims, sinks
 from stationlake.sources.fixed_width import read_dly
@@ -29,9 +30,10 @@ def build_warehouse(spark: SparkSession, raw_dir: str, station_file: str, out_di
                     table_prefix: str = "stationlake") -> tuple[dict[str, DataFrame], DataFrame]:
     """Parse, conform, curate and stage everything; returns (tables, load report).
 
-    ``strict`` casts to the contract types with ANSI casts (an overflowing
-    value fails the job, like the reference's typed load); with
-    ``strict=False`` overflow becomes NULL and shows up in ``decimal_contract``.
+    ``strict`` fails the job on a value that its type can't hold and, once the
+    tables are written, on any row that breaks a contract (key, unique, NOT NULL,
+    length, reference); with ``strict=False`` overflow becomes NULL and the
+    violations are left to ``contract_report``.
     With ``station_buckets`` the curated table is saved bucketed on
     ``station_id`` (external table ``<table_prefix>_daily`` at the same
     location), so the per-station windows of the views and features read it
@@ -68,4 +70,7 @@ def build_warehouse(spark: SparkSession, raw_dir: str, station_file: str, out_di
         "observations": obs,
         "daily": daily,
     }
+    if strict:
+        for name, contract in CONTRACTS.items():
+            enforce(tables[name], contract, tables)
     return tables, sinks.load_counts(tables)

@@ -84,6 +84,7 @@ class Contract:
     references: dict[str, tuple[str, str]] = field(default_factory=dict)  # column -> (table, column)
     max_length: dict[str, int] = field(default_factory=dict)
     defaults: dict[str, object] = field(default_factory=dict)
+    unique: tuple[str, ...] = ()
 
     @property
     def not_null(self) -> list[str]:
@@ -124,6 +125,7 @@ DIM_DATE = Contract(
         _f("season_nh", T.StringType(), False),
     ]),
     key=("date_key",),
+    unique=("date",),
 )
 
 DIM_ELEMENT = Contract(
@@ -162,6 +164,8 @@ DAILY = Contract(
     max_length={"station_id": 11},
 )
 
+CONTRACTS = {c.name: c for c in (DIM_STATION, DIM_DATE, DIM_ELEMENT, OBSERVATIONS, DAILY)}
+
 FEATURE_COLUMNS = [
     "tmax_lag1", "tmax_lag2", "tmax_lag3", "tmax_lag7", "tmin_today", "temp_range_today",
     "tmax_roll7_mean", "tmax_roll30_mean", "tmax_roll7_std", "tmax_delta_1d",

@@ -7,13 +7,21 @@ from pyspark.sql import functions as F
 
 from stationlake.functions import date_key, iso_weekday, season_nh
 from stationlake.schema import DIM_STATION, ELEMENTS
+from stationlake.sources.header_csv import read_by_header
 
 
 def read_dim_station(spark: SparkSession, path: str) -> DataFrame:
-    """Station reference data (CSV with header) typed by the contract; ``is_gsn`` defaults to 0."""
-    raw = spark.read.csv(path, header=True, schema=DIM_STATION.schema, enforceSchema=False,
-                         nullValue="", mode="FAILFAST")
-    return raw.withColumn("is_gsn", F.coalesce(F.col("is_gsn"), F.lit(0).cast("short")))
+    """Station reference data (CSV with header) typed by the contract; ``is_gsn`` defaults to 0.
+
+    A value that doesn't fit its type fails the job.
+    """
+    from stationlake.sources.sinks import project
+
+    required = [c for c in DIM_STATION.not_null if c not in DIM_STATION.defaults]
+    raw = read_by_header(spark, path, DIM_STATION.columns, required)
+    for c, v in DIM_STATION.defaults.items():
+        raw = raw.withColumn(c, F.coalesce(F.col(c), F.lit(str(v))))
+    return project(raw, DIM_STATION.schema)
 
 
 def dim_element(spark: SparkSession) -> DataFrame:

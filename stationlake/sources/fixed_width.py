@@ -63,19 +63,3 @@ def read_dly(spark: SparkSession, path: str, elements: Sequence[str] = ELEMENT_C
              .select("value", F.col("_metadata.file_name").alias("file_name"),
                      F.monotonically_increasing_id().alias("line_id")))
     return parse_dly_lines(lines, elements, keep=("file_name", "line_id"))
-
-
-def render_dly_lines(long: DataFrame) -> DataFrame:
-    """Long rows (station_id, obs_date, element, value_raw, mflag, qflag, sflag) -> month records.
-
-    The writer side of the format (used to land test archives). One group per
-    station-month-element holds at most 31 slots; days without a row are
-    written as -9999 with blank flags.
-    """
-    slot = F.format_string("%5d%s%s%s", F.col("value_raw"), F.coalesce("mflag", F.lit(" ")),
-                           F.coalesce("qflag", F.lit(" ")), F.coalesce("sflag", F.lit(" ")))
-    g = long.groupBy("station_id", F.year("obs_date").alias("y"), F.month("obs_date").alias("m"), "element").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.dayofmonth("obs_date"), slot))).alias("slots"))
-    body = F.expr(f"concat_ws('', transform(sequence(1, 31), d -> coalesce(element_at(slots, d), '{MISSING}   ')))")
-    return g.select(F.concat(F.rpad("station_id", 11, " "), F.lpad(F.col("y").cast("string"), 4, "0"),
-                             F.lpad(F.col("m").cast("string"), 2, "0"), F.rpad("element", 4, " "), body).alias("value"))

@@ -37,25 +37,3 @@ def read_reanalysis(spark: SparkSession, path: str) -> DataFrame:
            .option("pathGlobFilter", "*.json").json(path)
            .select("daily", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1).alias("station_id")))
     return explode_daily_arrays(raw)
-
-
-def pack_daily_arrays(daily: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Writer side: curated rows -> one response per station-year, ``daily`` as parallel arrays.
-
-    ``mapping`` maps response variables to columns of ``daily``. One group is
-    a station-year, at most 366 entries, so a packed row is bounded.
-    """
-    cols = list(mapping.values())
-    g = daily.groupBy("station_id", F.year("obs_date").alias("_y")).agg(
-        F.sort_array(F.collect_list(F.struct("obs_date", *cols))).alias("_rows"))
-    fields = [F.transform("_rows", lambda r: F.date_format(r["obs_date"], "yyyy-MM-dd")).alias("time")]
-    def field_of(c: str):
-        return lambda r: r[c].cast("double")
-
-    for var in REANALYSIS_VARS:
-        if var in mapping:
-            fields.append(F.transform("_rows", field_of(mapping[var])).alias(var))
-        else:
-            fields.append(F.lit(None).cast("array<double>").alias(var))
-    fields += [F.lit(None).cast("array<string>").alias("sunrise"), F.lit(None).cast("array<string>").alias("sunset")]
-    return g.select("station_id", F.struct(*fields).alias("daily"))

@@ -2,25 +2,39 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stationlake.operators.quality import enforce
 from stationlake.schema import Contract
+from stationlake.sources.header_csv import read_by_header
 
 
 def project(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
     """Select the contract columns in contract order, cast to the contract types.
 
-    Strict mode casts (ANSI: overflow raises); audit mode uses ``try_cast``
-    (overflow becomes NULL and is reported by the precision check).
+    Strict mode fails the job on a value that doesn't fit its type, whatever the
+    session's ANSI setting; audit mode makes it NULL, for the precision check to
+    report. A NOT NULL column that is absent is an error in either mode.
     """
+    absent = [f.name for f in schema.fields if not f.nullable and f.name not in df.columns]
+    if absent:
+        raise ValueError(f"missing NOT NULL columns: {', '.join(absent)}")
     cols = []
     for f in schema.fields:
-        c = F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)
-        cols.append((c.cast(f.dataType) if strict else c.try_cast(f.dataType)).alias(f.name))
+        if f.name not in df.columns:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c = F.col(f"`{f.name}`")
+        cast = c.try_cast(f.dataType)
+        if strict:
+            said = F.concat(F.lit(f"{f.name}: value does not fit {f.dataType.simpleString()}: "), c.cast("string"))
+            cast = F.when(c.isNotNull() & cast.isNull(), F.raise_error(said).cast(f.dataType)).otherwise(cast)
+        cols.append(cast.alias(f.name))
     return df.select(*cols)
 
 
@@ -67,20 +81,24 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.load(path)
 
 
-def bulk_load(spark: SparkSession, path: str, target: Contract | T.StructType, strict: bool = True) -> DataFrame:
-    """Load a staged CSV: the header names the columns present, '' is NULL.
+def bulk_load(spark: SparkSession, path: str | list[str], target: Contract | T.StructType, strict: bool = True,
+              refs: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Load staged CSV files: each file's own header names its columns, '' is NULL.
 
-    Columns are matched by header name (any order, missing ones NULL), cast to
-    the target types, and contract defaults fill NULLs (``is_gsn`` -> 0).
+    Columns are matched by header name (any order, other ones ignored, absent
+    ones NULL), contract defaults fill NULLs (``is_gsn`` -> 0), and values are
+    cast to the target types. A strict load of a contract also fails the job on
+    key, NOT NULL, length and (with ``refs``) reference violations.
     """
-    schema = target.schema if isinstance(target, Contract) else target
-    raw = spark.read.option("header", True).option("nullValue", "").option("inferSchema", False).csv(path)
+    contract = target if isinstance(target, Contract) else None
+    schema = contract.schema if contract else target
+    defaults = contract.defaults if contract else {}
+    required = [f.name for f in schema.fields if not f.nullable and f.name not in defaults]
+    raw = read_by_header(spark, path, schema.fieldNames(), required or schema.fieldNames()[:1]).drop("file_name", "line_id")
+    for c, v in defaults.items():
+        raw = raw.withColumn(c, F.coalesce(F.col(c), F.lit(str(v))))
     out = project(raw, schema, strict)
-    if isinstance(target, Contract):
-        for c, v in target.defaults.items():
-            dtype = schema[c].dataType
-            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v).cast(dtype)))
-    return out
+    return enforce(out, contract, refs) if contract and strict else out
 
 
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -95,3 +113,32 @@ def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def score_upsert(old: DataFrame, new: DataFrame, key: Sequence[str] = ("station_id", "model")) -> DataFrame:
     """Replace or add scoreboard rows by key: ``old`` rows without a new counterpart, plus ``new``."""
     return old.join(new.select(*key), list(key), "left_anti").unionByName(new)
+
+
+def update_scoreboard(spark: SparkSession, path: str, new: DataFrame, key: Sequence[str] = ("station_id", "model"),
+                      order_by: Sequence[str] = ("mae", "station_id", "model")) -> DataFrame:
+    """Read the board stored at ``path``, replace or add the rows of ``new``, rewrite it ordered, return it.
+
+    The new version is written beside the old one and the pointer file is
+    switched last, so a lost executor or a failed job leaves the old board.
+    """
+    old = read_scoreboard(spark, path)
+    board = new if old is None else score_upsert(old, new.select(*old.columns), key)
+    version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
+    board.orderBy(*order_by).write.parquet(version)
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
+        f"{path.rstrip('/')}/current")
+    return spark.read.parquet(version).orderBy(*order_by)
+
+
+def read_scoreboard(spark: SparkSession, path: str) -> DataFrame | None:
+    """The board stored at ``path``; None where there is none yet."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        current = spark.read.text(f"{path.rstrip('/')}/current").first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return spark.read.parquet(current[0]) if current else None

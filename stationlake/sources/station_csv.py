@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from stationlake.functions import blank_to_null
 from stationlake.operators.conform import ELEMENT_CODES
-from stationlake.operators.joins import join_dim
 from stationlake.schema import MISSING, STATION_CSV
+from stationlake.sources.header_csv import read_by_header
 
 
 def parse_station_csv(raw: DataFrame, elements: Sequence[str] = ELEMENT_CODES,
@@ -34,29 +34,19 @@ def parse_station_csv(raw: DataFrame, elements: Sequence[str] = ELEMENT_CODES,
     return out.where(F.col("value_raw").isNotNull() & (F.col("value_raw") != MISSING))
 
 
-def read_station_csv(spark: SparkSession, path: str, elements: Sequence[str] = ELEMENT_CODES,
-                     stations: DataFrame | None = None) -> DataFrame:
-    """Read ``*.csv`` under ``path`` with the explicit all-text schema.
+def read_station_csv(spark: SparkSession, path: str | list[str], elements: Sequence[str] = ELEMENT_CODES,
+                     stations: DataFrame | None = None, keep: Sequence[str] = (), glob: str = "*.csv") -> DataFrame:
+    """Read the files ``glob`` under ``path``; columns are taken by header name.
 
-    The header row is skipped and columns are taken by position, so header
-    case and padding do not matter. With ``stations`` given, only files whose
-    stem is a known station id are kept (semi join on the file name).
+    Header names are trimmed and upper-cased, their order is free, and a header
+    without one of the needed columns fails. With ``stations`` given, only files
+    whose stem is a known station id are kept (semi join on the file name).
+    ``keep`` names further columns to carry.
     """
-    raw = (spark.read.option("pathGlobFilter", "*.csv").csv(path, header=True, schema=STATION_CSV)
-           .select("*", F.col("_metadata.file_name").alias("file_name"),
-                   F.monotonically_increasing_id().alias("line_id")))
+    names = STATION_CSV.fieldNames()
+    needed = [n for n in names if n != "OBS_TIME"]
+    stems = None
     if stations is not None:
         stems = stations.select(F.concat(F.col("station_id"), F.lit(".csv")).alias("file_name"))
-        raw = join_dim(raw, stems, "file_name", how="left_semi")
-    return parse_station_csv(raw, elements, keep=("file_name", "line_id"))
-
-
-def render_station_csv(long: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Long rows -> the all-text CSV columns (the writer side, used to land test files)."""
-    return long.select(
-        *keep,
-        F.col("station_id").alias("ID"), F.date_format("obs_date", "yyyyMMdd").alias("DATE"),
-        F.col("element").alias("ELEMENT"), F.col("value_raw").cast("string").alias("DATA_VALUE"),
-        F.coalesce("mflag", F.lit("")).alias("M_FLAG"), F.coalesce("qflag", F.lit("")).alias("Q_FLAG"),
-        F.coalesce("sflag", F.lit("")).alias("S_FLAG"), F.lit("0700").alias("OBS_TIME"),
-    )
+    raw = read_by_header(spark, path, [*names, *keep], needed, glob, only=stems)
+    return parse_station_csv(raw, elements, keep=("file_name", "line_id", *keep))

@@ -2,9 +2,12 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from stationlake.sources.fixed_width import parse_dly_lines, render_dly_lines
+from stationlake.plans.landing import render_dly_lines
+from stationlake.sources.fixed_width import parse_dly_lines
 from stationlake.sources.reanalysis_json import explode_daily_arrays
 from stationlake.sources.station_csv import parse_station_csv
 
@@ -65,6 +68,14 @@ def test_render_parse_round_trip(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, src.collect()))
 
 
+def test_value_wider_than_its_field_fails(spark):
+    src = spark.createDataFrame([("AB000000004", dt.date(2004, 2, 29), "TMAX", 123456, None, None, None)],
+                                "station_id string, obs_date date, element string, value_raw int, mflag string, "
+                                "qflag string, sflag string")
+    with pytest.raises(Exception, match="wider than 5"):
+        render_dly_lines(src).collect()
+
+
 def test_station_csv_parse(spark):
     raw = spark.createDataFrame(
         [("AB000000005", "20010102", "TMAX", "105", "", " ", "E", "0700"),

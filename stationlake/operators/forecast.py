@@ -6,10 +6,17 @@ a group is small and bounded whatever the total data size; parallelism comes
 from the number of stations. The fit is two-stage least squares
 (Hannan and Rissanen, 1982, Biometrika 69(1)) on the seasonally differenced
 series instead of state-space maximum likelihood: a long autoregression
-estimates the innovations, then the multiplicative model
+estimates the innovations, then the model
   w_t = a1 w_{t-1} + a12 w_{t-12} + a13 w_{t-13} + e_t + b1 e_{t-1} + b12 e_{t-12} + b13 e_{t-13}
-(w = y_t - y_{t-12}) is fitted by least squares. The 95 % interval uses the
-psi-weights of the fitted model integrated over the seasonal difference.
+(w = y_t - y_{t-12}) is fitted by least squares; the lag-13 terms are free, not the products of the
+other two. Months that the limited interpolation left empty stay empty: a row
+of the regressions takes part only if all its lags are there, and a forecast
+whose month has no value last year starts from the latest earlier year that has
+one (``n_filled`` counts such steps). The 95 % interval uses the psi-weights of
+the fitted model integrated over the seasonal difference.
+
+Every station returns rows: one whose history is too short has NULL forecasts
+and the reason.
 """
 
 from __future__ import annotations
@@ -27,7 +34,8 @@ FORECAST_SCHEMA = T.StructType([
     T.StructField("station_id", T.StringType()), T.StructField("month_start", T.DateType()),
     T.StructField("step", T.IntegerType()), T.StructField("actual", T.DoubleType()),
     T.StructField("forecast", T.DoubleType()), T.StructField("lower", T.DoubleType()),
-    T.StructField("upper", T.DoubleType()),
+    T.StructField("upper", T.DoubleType()), T.StructField("n_filled", T.IntegerType()),
+    T.StructField("reason", T.StringType()),
 ])
 
 
@@ -47,13 +55,10 @@ def _ols(X: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return beta, ok
 
 
-def fit_forecast_series(y: np.ndarray, horizon: int, s: int = SEASON) -> tuple[np.ndarray, np.ndarray]:
-    """Forecast ``horizon`` steps after ``y``; returns (mean, standard error)."""
-    y = y.astype(float).copy()
-    # Holes left after the limited interpolation: same month last year, else the series mean.
-    for t in range(len(y)):
-        if not np.isfinite(y[t]):
-            y[t] = y[t - s] if t >= s and np.isfinite(y[t - s]) else np.nanmean(y) if np.isfinite(y).any() else 0.0
+def fit_forecast_series(y: np.ndarray, horizon: int, s: int = SEASON) -> tuple[np.ndarray, np.ndarray, int]:
+    """Forecast ``horizon`` steps after ``y`` (NaN: no value); returns (mean, standard error, steps that
+    start from an earlier year than the last). A month that no year has is NaN."""
+    y = y.astype(float)
     w = y[s:] - y[:-s]
     ar_lags, ma_lags = [1, s, s + 1], [1, s, s + 1]
     # Stage 1: long autoregression -> innovation estimates.
@@ -70,16 +75,20 @@ def fit_forecast_series(y: np.ndarray, horizon: int, s: int = SEASON) -> tuple[n
     sigma2 = float(np.mean(resid ** 2)) if len(resid) else 0.0
     a, b = beta[: len(ar_lags)], beta[len(ar_lags):]
     # Recursive forecast with future innovations at zero.
-    w_ext = list(w)
+    w_ext = list(np.nan_to_num(w, nan=0.0))  # an unknown past difference counts as its mean, zero
     e_ext = list(np.nan_to_num(e, nan=0.0))
     y_ext = list(y)
+    n_filled = 0
     for _ in range(horizon):
         t = len(w_ext)
         w_hat = sum(a[k] * (w_ext[t - lag] if t - lag >= 0 else 0.0) for k, lag in enumerate(ar_lags))
         w_hat += sum(b[k] * (e_ext[t - lag] if t - lag >= 0 else 0.0) for k, lag in enumerate(ma_lags))
         w_ext.append(w_hat)
         e_ext.append(0.0)
-        y_ext.append(w_hat + y_ext[len(y_ext) - s])
+        past = y_ext[len(y_ext) - s::-s]
+        base = next((v for v in past if np.isfinite(v)), np.nan)
+        n_filled += int(np.isfinite(base) and not np.isfinite(past[0]))
+        y_ext.append(w_hat + base)
     mean = np.array(y_ext[len(y):])
     # psi-weights of w (ARMA), then of y (integrate the seasonal difference).
     psi_w = np.zeros(horizon)
@@ -90,27 +99,39 @@ def fit_forecast_series(y: np.ndarray, horizon: int, s: int = SEASON) -> tuple[n
         psi_w[j] = v
     psi_y = np.array([psi_w[j::-s].sum() for j in range(horizon)])
     se = np.sqrt(sigma2 * np.cumsum(psi_y ** 2))
-    return mean, se
+    return mean, se, n_filled
 
 
 def _forecast_group(horizon: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("month_start")
-        if len(pdf) <= horizon + SEASON:
-            return pd.DataFrame(columns=[f.name for f in FORECAST_SCHEMA.fields])
         y = pdf["value"].to_numpy(dtype=float)
-        train, test = y[:-horizon], y[-horizon:]
-        mean, se = fit_forecast_series(train, horizon)
-        return pd.DataFrame({
-            "station_id": pdf["station_id"].iloc[0], "month_start": pdf["month_start"].iloc[-horizon:].to_numpy(),
-            "step": np.arange(1, horizon + 1, dtype="int32"), "actual": test,
+        n = min(horizon, len(y))
+        train, test = y[:len(y) - n], y[len(y) - n:]
+        if len(train) > SEASON:
+            mean, se, n_filled = fit_forecast_series(train, n)
+            reason = [None if np.isfinite(m) else "month without history" for m in mean]
+        else:
+            mean = se = np.full(n, np.nan)
+            n_filled, reason = 0, ["history of a season or less"] * n
+        out = pd.DataFrame({
+            "station_id": pdf["station_id"].iloc[0], "month_start": pdf["month_start"].iloc[len(y) - n:].to_numpy(),
+            "step": np.arange(1, n + 1, dtype="int32"), "actual": test,
             "forecast": mean, "lower": mean - Z95 * se, "upper": mean + Z95 * se,
+            "n_filled": np.int32(n_filled), "reason": reason,
         })
+        numbers = ["actual", "forecast", "lower", "upper"]
+        out[numbers] = out[numbers].astype(object).where(out[numbers].notna(), None)
+        return out
     return run
 
 
 def seasonal_forecast(series: DataFrame, horizon: int = 24) -> DataFrame:
-    """Per station: hold out the last ``horizon`` months, fit on the rest, forecast with 95 % bounds."""
+    """Per station: hold out the last ``horizon`` months, fit on the rest, forecast with 95 % bounds.
+
+    A station without more than a season before the holdout returns its months
+    with NULL forecasts and a ``reason``.
+    """
     return (series.select("station_id", "month_start", "value")
             .groupBy("station_id").applyInPandas(_forecast_group(horizon), FORECAST_SCHEMA))
 
@@ -119,12 +140,14 @@ def forecast_gate(forecasts: DataFrame, naive: DataFrame) -> DataFrame:
     """Per station: holdout MAE of the seasonal forecast vs the seasonal-naive MAE, and the verdict.
 
     ``naive`` carries (station_id, naive_mae) as produced by the seasonal-naive
-    baseline; months without an actual value are not scored.
+    baseline; months without an actual value or a forecast are not scored, and
+    ``n_unforecast`` counts the months without a forecast.
     """
-    scored = forecasts.where(F.col("actual").isNotNull() & ~F.isnan("actual"))
-    mae = scored.groupBy("station_id").agg(F.avg(F.abs(F.col("actual") - F.col("forecast"))).alias("mae"),
-                                           F.count(F.lit(1)).alias("n_scored"))
+    error = F.abs(F.col("actual") - F.col("forecast"))
+    mae = forecasts.groupBy("station_id").agg(
+        F.avg(error).alias("mae"), F.count(error).alias("n_scored"),
+        F.count_if(F.col("forecast").isNull()).alias("n_unforecast"))
     j = mae.join(naive.select("station_id", "naive_mae"), "station_id", "left")
-    return j.select("station_id", F.lit("seasonal_arima").alias("model"), "mae", "n_scored",
+    return j.select("station_id", F.lit("seasonal_arima").alias("model"), "mae", "n_scored", "n_unforecast",
                     F.lit("seasonal_naive").alias("baseline"), F.col("naive_mae").alias("baseline_mae"),
                     (F.col("mae") < F.col("naive_mae")).alias("beats_baseline"))

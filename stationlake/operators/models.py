@@ -92,17 +92,16 @@ def trend_slope(train: DataFrame, y: str = TARGET, x: str = "tmax_lag1") -> Data
 # --- linear regression per station from sufficient statistics -------------
 
 def _moments(train: DataFrame, feats: Sequence[str]) -> DataFrame:
-    """Per station: n, sums of x, y, x_i*x_j (i <= j), x_i*y and y*y, in one aggregate.
+    """Per station: n, means and centred second moments (``covar_pop``) of every pair, in one aggregate.
 
-    A plain aggregate with partial (map-side) combination: the rows of one
-    station never meet in one task, only their partial sums do.
+    ``covar_pop`` merges partial, centred sums, so the rows of one station never
+    meet in one task and a mean far from zero costs no precision.
     """
     p = len(feats)
-    aggs = [F.count(F.lit(1)).cast("double").alias("n"), F.sum(TARGET).alias("sy"),
-            F.sum(F.col(TARGET) * F.col(TARGET)).alias("syy")]
-    aggs += [F.sum(f).alias(f"sx{i}") for i, f in enumerate(feats)]
-    aggs += [F.sum(F.col(feats[i]) * F.col(feats[j])).alias(f"sxx{i}_{j}") for i in range(p) for j in range(i, p)]
-    aggs += [F.sum(F.col(f) * F.col(TARGET)).alias(f"sxy{i}") for i, f in enumerate(feats)]
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg(TARGET).alias("my")]
+    aggs += [F.avg(f).alias(f"mx{i}") for i, f in enumerate(feats)]
+    aggs += [F.covar_pop(feats[i], feats[j]).alias(f"c{i}_{j}") for i in range(p) for j in range(i, p)]
+    aggs += [F.covar_pop(f, TARGET).alias(f"cy{i}") for i, f in enumerate(feats)]
     return train.groupBy("station_id").agg(*aggs)
 
 
@@ -112,24 +111,20 @@ def _solver(p: int):
             out = []
             for r in pdf.itertuples(index=False):
                 d = r._asdict()
-                n = d["n"]
-                mx = np.array([d[f"sx{i}"] for i in range(p)]) / n
-                my = d["sy"] / n
-                sxx = np.empty((p, p))
+                mx = np.array([d[f"mx{i}"] for i in range(p)], float)
+                cov = np.empty((p, p))
                 for i in range(p):
                     for j in range(i, p):
-                        sxx[i, j] = sxx[j, i] = d[f"sxx{i}_{j}"]
-                sxy = np.array([d[f"sxy{i}"] for i in range(p)])
-                cov = sxx / n - np.outer(mx, mx)
-                cxy = sxy / n - mx * my
+                        cov[i, j] = cov[j, i] = d[f"c{i}_{j}"]
+                cxy = np.array([d[f"cy{i}"] for i in range(p)])
                 scale = np.sqrt(np.clip(np.diag(cov), 0.0, None))
-                live = scale > 1e-12 * max(1.0, float(np.abs(mx).max(initial=0.0)))
+                live = scale > 1e-12 * np.maximum(1.0, np.abs(mx))
                 beta = np.zeros(p)
                 if live.any():
                     s = scale[live]
                     corr = cov[np.ix_(live, live)] / np.outer(s, s)
                     beta[live] = (np.linalg.pinv(corr, rcond=1e-10, hermitian=True) @ (cxy[live] / s)) / s
-                out.append((d["station_id"], int(n), float(my - mx @ beta), beta.tolist()))
+                out.append((d["station_id"], int(d["n"]), float(d["my"] - mx @ beta), beta.tolist()))
             yield pd.DataFrame(out, columns=["station_id", "n_train", "intercept", "coefficients"])
     return solve
 
@@ -171,41 +166,49 @@ def linear_coefficients(coefs: DataFrame, feats: Sequence[str] = FEATURE_COLUMNS
     return z.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
 
 
+def linear_residuals(train: DataFrame, coefs: DataFrame, feats: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
+    """Per station and feature: n_train and the correlation-scaled normal-equation residual.
+
+    A least-squares fit leaves an error uncorrelated with every feature; the
+    residual is |covariance(feature, error)| over the spreads of feature and
+    target, 0 for a feature or target without spread.
+    """
+    x = F.array(*[F.col(f).cast("double") for f in feats])
+    dot = F.aggregate(F.zip_with("coefficients", x, lambda c, v: c * v), F.lit(0.0), lambda acc, v: acc + v)
+    j = join_dim(train, coefs.select("station_id", "intercept", "coefficients"), "station_id")
+    e = j.withColumn("_e", F.col(TARGET) - F.col("intercept") - dot)
+    per = e.groupBy("station_id").agg(F.count(F.lit(1)).alias("n_train"), *[
+        F.coalesce(F.try_divide(F.abs(F.covar_pop(f, "_e")),
+                                F.nullif(F.stddev_pop(f) * F.stddev_pop(TARGET), F.lit(0.0))), F.lit(0.0)).alias(f)
+        for f in feats])
+    return per.unpivot(["station_id", "n_train"], list(feats), "feature", "residual")
+
+
 # --- gradient-boosted trees (MLlib) ----------------------------------------
 
 def fit_gbt(train: DataFrame, feats: Sequence[str] = FEATURE_COLUMNS, max_iter: int = 600, max_depth: int = 4,
-            step_size: float = 0.05, subsampling_rate: float = 0.8, feature_subset: str = "0.8",
-            seed: int = 42, station_feature: bool = True, max_station_bins: int = 128):
+            step_size: float = 0.05, subsampling_rate: float = 0.8, feature_subset: str = "0.8", seed: int = 42):
     """Boosted regression trees over all stations at once (one distributed MLlib fit).
 
     A per-station loop would run one training job per station from the
-    driver; instead one model is trained on every station's rows, with the
-    station as a categorical feature while the station count fits in
-    ``max_station_bins`` bins. Hyper-parameters follow the reference (600
-    trees, depth 4, rate 0.05, 0.8 row and column sampling, seed 42).
+    driver; instead one model is trained on every station's rows, on the same
+    features whatever the number of stations. Defaults: 600 trees, depth 4,
+    rate 0.05, 0.8 row and column sampling, seed 42.
     Returns (pipeline_model, input_feature_names).
     """
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
     from stationlake.session import shared_dir
 
     shared_dir(train.sparkSession)  # checkpoint folder for the tree ensemble's lineage
     names = list(feats)
-    stages = []
-    n_stations = None
-    if station_feature:
-        n_stations = train.select("station_id").distinct().limit(max_station_bins + 1).count()
-        station_feature = n_stations <= max_station_bins
-    if station_feature:
-        stages.append(StringIndexer(inputCol="station_id", outputCol="station_index", handleInvalid="keep"))
-        names = names + ["station_index"]
-    stages.append(VectorAssembler(inputCols=names, outputCol="features"))
-    stages.append(GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=max_iter, maxDepth=max_depth,
-                               stepSize=step_size, subsamplingRate=subsampling_rate,
-                               featureSubsetStrategy=feature_subset, seed=seed, lossType="squared",
-                               maxBins=max(32, (n_stations or 0) + 1), checkpointInterval=10))
+    stages = [VectorAssembler(inputCols=names, outputCol="features"),
+              GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=max_iter, maxDepth=max_depth,
+                           stepSize=step_size, subsamplingRate=subsampling_rate,
+                           featureSubsetStrategy=feature_subset, seed=seed, lossType="squared",
+                           checkpointInterval=10)]
     return Pipeline(stages=stages).fit(train), names
 
 
@@ -216,6 +219,6 @@ def predict_gbt(model, test: DataFrame) -> DataFrame:
 
 
 def feature_importance(model, names: Sequence[str]) -> list[tuple[str, float]]:
-    """Impurity-based importances of the fitted ensemble (one number per input feature)."""
+    """Impurity-based importances of the fitted ensemble (one number per input feature), largest first."""
     imp = model.stages[-1].featureImportances.toArray()
-    return sorted(zip(names, map(float, imp)), key=lambda t: -t[1])
+    return sorted(zip(names, map(float, imp)), key=lambda t: (-t[1], t[0]))

@@ -117,7 +117,7 @@ def interpolate_limited(spark, sf):
     return r6(S.monthly_series(B.daily_sparse(spark, sf), "tmax", **D_MONTHLY))
 
 
-_HOLDOUT_SQL = f"""
+HOLDOUT_SQL = f"""
 SELECT station_id, month_start, value,
        CASE WHEN row_number() OVER (PARTITION BY station_id ORDER BY month_start DESC) <= {HORIZON}
             THEN 'test' ELSE 'train' END AS split
@@ -125,7 +125,7 @@ FROM {monthly_sql("f", 20, 1995, 2001)}"""
 
 
 @register("holdout_split", W(f"""
-SELECT station_id, month_start, {R("value")} AS value, split FROM ({_HOLDOUT_SQL})""", "f"))
+SELECT station_id, month_start, {R("value")} AS value, split FROM ({HOLDOUT_SQL})""", "f"))
 def holdout_split(spark, sf):
     return r6(S.holdout_split(f_monthly(spark, sf).select("station_id", "month_start", "value"), HORIZON))
 
@@ -148,7 +148,7 @@ def seasonal_naive_df(series, horizon: int = HORIZON):
 SELECT station_id, {R("avg(abs(value - naive)) FILTER (WHERE value IS NOT NULL AND naive IS NOT NULL)")} AS naive_mae,
        count(*) FILTER (WHERE value IS NOT NULL AND naive IS NOT NULL) AS n_scored,
        count(*) FILTER (WHERE value IS NULL OR naive IS NULL) AS n_excluded
-FROM (SELECT *, lag(value, 12) OVER (PARTITION BY station_id ORDER BY month_start) AS naive FROM ({_HOLDOUT_SQL}))
+FROM (SELECT *, lag(value, 12) OVER (PARTITION BY station_id ORDER BY month_start) AS naive FROM ({HOLDOUT_SQL}))
 WHERE split = 'test' GROUP BY station_id""", "f"))
 def seasonal_naive(spark, sf):
     return r6(seasonal_naive_df(f_monthly(spark, sf)))

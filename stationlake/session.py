@@ -63,9 +63,27 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+_WRITTEN: list[str] = []
+
+
 def table_path(spark: SparkSession, name: str) -> str:
     """A fresh location for one written table under the shared folder."""
-    return f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.append(path)
+    return path
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this process has written; returns how many.
+
+    A query's result reads its intermediate tables when it runs, so call this
+    once the results are consumed (or written elsewhere).
+    """
+    jvm, n = spark._jvm, 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -151,13 +151,49 @@ def test_monthly_series_support_and_holdout(spark):
     assert [r.split for r in split] == ["train"] * 4 + ["test"] * 2
 
 
-def test_seasonal_forecast_skips_short_series(spark):
+def test_seasonal_forecast_keeps_every_station(spark):
     months = [dt.date(2000 + i // 12, i % 12 + 1, 1) for i in range(120)]
     rows = [("LONG", m, float(10 + 8 * math.sin(2 * math.pi * i / 12))) for i, m in enumerate(months)]
-    rows += [("SHORT", m, 5.0) for m in months[:30]] + [("HOLEY", m, None if i % 5 == 0 else 3.0 + i % 12)
-                                                      for i, m in enumerate(months)]
+    rows += [("SHORT", m, 5.0) for m in months[:36]] + [("TINY", m, 5.0) for m in months[:3]]
+    rows += [("HOLEY", m, None if i % 5 == 0 or i in (90, 91) else 3.0 + i % 12) for i, m in enumerate(months)]
     df = spark.createDataFrame(rows, "station_id string, month_start date, value double")
     out = FC.seasonal_forecast(df, horizon=24)
-    counts = {r.station_id: r.n for r in out.groupBy("station_id").agg(F.count("*").alias("n")).collect()}
-    assert counts == {"LONG": 24, "HOLEY": 24}
-    assert out.where(F.col("forecast").isNull() | F.isnan("forecast")).count() == 0
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.station_id, []).append(r)
+    assert {k: len(v) for k, v in got.items()} == {"LONG": 24, "HOLEY": 24, "SHORT": 24, "TINY": 3}
+    assert all(r.forecast is None and r.lower is None and r.reason for k in ("SHORT", "TINY") for r in got[k])
+    assert all(r.forecast is not None and r.reason is None and r.n_filled == 0 for r in got["LONG"])
+    assert all(r.forecast is not None and r.n_filled > 0 for r in got["HOLEY"])
+    naive = spark.createDataFrame([("LONG", 9.0), ("SHORT", 1.0)], "station_id string, naive_mae double")
+    gate = {r.station_id: r for r in FC.forecast_gate(out, naive).collect()}
+    assert set(gate) == {"LONG", "HOLEY", "SHORT", "TINY"}
+    assert gate["SHORT"].n_unforecast == 24 and gate["SHORT"].mae is None and gate["LONG"].beats_baseline
+
+
+@pytest.mark.parametrize("mean", [0.0, 1e6, 1e8])
+def test_linear_fit_far_from_zero(spark, mean):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=400)
+    rows = [("A", float(mean + v), float(3 * v + 1)) for v in x]
+    df = spark.createDataFrame(rows, f"station_id string, x double, {TARGET} double").repartition(5)
+    c = M.fit_linear(df, ["x"]).first()
+    assert c.coefficients[0] == pytest.approx(3.0, abs=1e-6)
+    r = M.linear_residuals(df, M.fit_linear(df, ["x"]), ["x"]).first()
+    assert r.residual < 1e-6 and r.n_train == 400
+
+
+def test_boosted_trees_use_the_same_features_for_any_number_of_stations(spark):
+    for n in (2, 129):
+        rows = [(f"S{i % n:03d}", float(i % 17), float(2 * (i % 17))) for i in range(600)]
+        df = spark.createDataFrame(rows, f"station_id string, x double, {TARGET} double")
+        model, names = M.fit_gbt(df, ["x"], max_iter=3, step_size=0.5, subsampling_rate=1.0, feature_subset="all")
+        assert names == ["x"] and M.feature_importance(model, names) == [("x", 1.0)]
+
+
+def test_last_rows_and_order(spark):
+    from stationlake.operators import display as D
+
+    df = spark.range(50).selectExpr("id", "id % 7 AS g").repartition(4)
+    assert [r.id for r in D.last_k(df, ["id"], 3).collect()] == [47, 48, 49]
+    assert [r.g for r in D.ordered(df, ["g", "id"], descending=["g"]).limit(7).collect()] == [6] * 7

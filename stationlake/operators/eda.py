@@ -90,13 +90,14 @@ def with_z(daily: DataFrame, value: str = "tmax") -> DataFrame:
     """Each row with its day-of-year normal and standardised anomaly z.
 
     The normal is a window aggregate over (station, day of year): the same
-    rows as aggregating the normals and left-joining them back, with a single
-    exchange. A group of one row or zero spread gives z = NULL.
+    rows as aggregating the normals and left-joining them back. The rows are
+    dealt by station once, which also serves what follows per station. A group of one row or zero spread gives z = NULL.
     """
     w = Window.partitionBy("station_id", F.dayofyear("obs_date"))
     mean = F.avg(value).over(w)
     std = F.stddev_samp(value).over(w)
-    return daily.select("station_id", "obs_date", value, mean.alias("doy_mean"), std.alias("doy_std")).withColumn(
+    return daily.select("station_id", "obs_date", value).repartition("station_id").select(
+        "station_id", "obs_date", value, mean.alias("doy_mean"), std.alias("doy_std")).withColumn(
         "z", F.try_divide(F.col(value) - F.col("doy_mean"), F.nullif(F.col("doy_std"), F.lit(0.0))))
 
 

@@ -2,46 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we ship to every executor: at most 2M rows and, with a
-# conservative width estimate per row, at most 256 MB.
+# Largest dimension we ship to every executor: at most 2M rows and, as measured
+# on its rows, at most 256 MB.
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def _row_bytes(df: DataFrame) -> int:
-    """Upper-end width estimate of one row: 64 bytes per string/binary/nested value, 8 otherwise."""
-    width = 0
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row: the real length of strings and binaries, nested values by their JSON text, 8 otherwise."""
+    total = F.lit(0).cast("bigint")
     for f in df.schema.fields:
-        name = f.dataType.typeName()
-        width += 64 if name in ("string", "binary", "array", "map", "struct") else 8
-    return max(width, 8)
+        c, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        total = total + 8
+    return total
 
 
 _CHECKED: dict[tuple, bool] = {}
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+    """True when ``df`` has at most ``max_rows`` rows of at most ``MAX_BROADCAST_BYTES`` in all.
 
-    Reads at most ``max_rows + 1`` rows, so the check itself is bounded. The
-    row bound is tightened so that rows x estimated width stays under
-    ``MAX_BROADCAST_BYTES``. The answer is remembered for the session per
+    Reads at most ``max_rows + 1`` rows, so the check itself is bounded, and
+    sums their measured bytes. The answer is remembered for the session per
     (plan, input files and their size), so a dimension joined by many queries is counted once.
     """
-    max_rows = min(max_rows, MAX_BROADCAST_BYTES // _row_bytes(df))
     try:
         # files and their total size (the planner's estimate, from the listing): a dimension
         # rewritten in place under the same names is counted again
         size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), size, max_rows)
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), size, max_rows, MAX_BROADCAST_BYTES)
     except Exception:  # plans without a stable hash are simply checked each time
         key = None
     if key is not None and key in _CHECKED:
         return _CHECKED[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
+    got = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    ok = got["n"] <= max_rows and (got["b"] or 0) <= MAX_BROADCAST_BYTES
     if key is not None:
         _CHECKED[key] = ok
     return ok

@@ -26,7 +26,11 @@ def test_registry_consistent():
     assert len(q) >= 60
 
 
-@pytest.mark.parametrize("name", sorted(__import__("__spark_entry__").oracle_sql()))
+#: Two fits of 600 trees: minutes each, whatever the table size. tools/oracle_check.py runs them.
+LONG = {"fit_gbt", "feature_importance"}
+
+
+@pytest.mark.parametrize("name", sorted(set(__import__("__spark_entry__").oracle_sql()) - LONG))
 def test_oracle_matches(spark, name):
     import oracle_check
 

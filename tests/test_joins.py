@@ -43,3 +43,10 @@ def test_rewritten_dimension_is_counted_again(spark, tmp_path):
     assert fits_broadcast(spark.read.parquet(path), max_rows=10)
     pq.write_table(pa.table({"k": list(range(500))}), path)
     assert not fits_broadcast(spark.read.parquet(path), max_rows=10)
+
+
+def test_wide_rows_are_measured_not_guessed(spark):
+    wide = spark.range(3000).selectExpr("id AS k", "repeat('x', 200000) AS body")
+    nested = spark.range(3000).selectExpr("id AS k", "array_repeat('xxxxxxxxxx', 20000) AS body")
+    assert not fits_broadcast(wide) and not fits_broadcast(nested)
+    assert fits_broadcast(spark.range(3000).selectExpr("id AS k", "'x' AS body"))

@@ -43,6 +43,38 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert scans and all("o_comment" not in s and "o_orderpriority" not in s for s in scans)
 
 
+def _daily(spark, tmp_path):
+    rows = [(s, dt.date(2001, 1, 1) + dt.timedelta(i), float(i % 40)) for s in "AB" for i in range(800)]
+    df = spark.createDataFrame(rows, "station_id string, obs_date date, tmax double")
+    df.write.parquet(str(tmp_path / "daily"))
+    return spark.read.parquet(str(tmp_path / "daily"))
+
+
+def test_model_ready_does_not_shuffle_the_fact(spark, tmp_path):
+    from stationlake.operators import quality as Q
+
+    p = plan(Q.model_ready(_daily(spark, tmp_path), "2001-06-01", "2001-01-01", "2002-01-01", 0.5))
+    assert "LeftSemi" in p and "BroadcastHashJoin" in p
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)", p)
+    assert len(keys) == 1 and "partial_count" in p  # the partial counts, inside the small side
+
+
+def test_extreme_days_joins_a_threshold(spark, tmp_path):
+    from stationlake.operators import views as V
+
+    stations = spark.createDataFrame([("A", "Alpha"), ("B", "Beta")], "station_id string, station_name string")
+    p = plan(V.extreme_days(_daily(spark, tmp_path), stations, 2001))
+    assert "Window" not in p and "partial_percentile" in p and p.count("BroadcastHashJoin") >= 2
+
+
+def test_anomalies_deal_the_fact_once(spark, tmp_path):
+    from stationlake.operators import eda as E
+
+    daily = _daily(spark, tmp_path)
+    for df in (E.doy_anomalies(daily), E.anomaly_counts(daily)):
+        assert len(re.findall(r"Exchange hashpartitioning", plan(df))) == 1
+
+
 def test_grouped_forecast_is_the_only_python_node(spark):
     p = plan(QUERIES["seasonal_forecast"](spark, SF))
     assert "FlatMapGroupsInPandas" in p

@@ -74,14 +74,14 @@ g AS (
 o AS (
   SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
            PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, role, text
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
   FROM g)
 SELECT conv_id, perspective, part, count(*) AS n_turns,
        CAST(sum(length(head) + length(body) + 1) AS BIGINT) AS n_chars,
        CAST(coalesce(sum(length(body)) FILTER (WHERE mine), 0) AS BIGINT) AS n_target_chars,
        sha256(string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS text_sha256,
-       coalesce(string_agg(CAST(CAST(at + length(head) AS BIGINT) AS VARCHAR) || '-'
-                           || CAST(CAST(at + length(head) + length(body) AS BIGINT) AS VARCHAR), ',' ORDER BY at)
+       coalesce(string_agg(CAST(CAST(off + length(head) AS BIGINT) AS VARCHAR) || '-'
+                           || CAST(CAST(off + length(head) + length(body) AS BIGINT) AS VARCHAR), ',' ORDER BY off)
                 FILTER (WHERE mine), '') AS spans
 FROM o GROUP BY conv_id, perspective, part
 """

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from stationlake.llm import (bpe, chat_format, ctw, html_text, line_dedup, mixing, near_dedup, passages, quality_rules,
                              topk_index)
 from stationlake.llm.common import read_table
+from stationlake.llm.oracles import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -71,4 +74,3 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_topk_search, op2_near_dedup, op3_chat_format, op4_quality_rules, op5_line_dedup,
                                    op6_context_tree, op7_fuzzy_passages, op8_html_text, op9_mixing, op10_byte_bpe)}
-ORACLE: dict[str, str] = {"op3_chat_format": chat_format.ORACLE}

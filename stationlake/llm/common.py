@@ -69,12 +69,15 @@ def add_columns(df: DataFrame, text: str, fields: list[tuple[str, str]],
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Rows times eight bytes a fixed-width column, plus the real length of strings and binaries."""
+    """Rows times eight bytes a column, plus the real length of strings and binaries, and of nested values as JSON."""
     size = F.lit(0)
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        size = size + (F.coalesce(F.octet_length(c), F.lit(0)) + 8
-                       if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.lit(8))
+        size = size + 8
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
     return int(df.agg(F.sum(size).alias("b")).first()["b"] or 0)
 
 

@@ -145,6 +145,6 @@ def apply_mix(docs: DataFrame, **how) -> DataFrame:
     columns = docs.columns
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
                         F.col("doc_id").alias("_i"), F.col("source").alias("_r"))
-    return (named.join(drawn, F.col("_i").eqNullSafe(F.col("_d")) & F.col("_r").eqNullSafe(F.col("_s")))
+    return (named.join(hinted(drawn), F.col("_i").eqNullSafe(F.col("_d")) & F.col("_r").eqNullSafe(F.col("_s")))
             .select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
             .select("row.*"))

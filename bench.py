@@ -36,7 +36,7 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     sf = float(m.group(1)) if m else sf_dir
 
-    from stationlake.session import get_spark
+    from stationlake.session import drop_tables, get_spark
     from stationlake.plans.registry import QUERIES
 
     parts = os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus.isdigit() else "8")
@@ -53,6 +53,7 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+        drop_tables(spark)
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec",
                       "queries": times, "sf": sf}))

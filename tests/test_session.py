@@ -1,6 +1,8 @@
 """Written tables go to the shared folder and come back whole; lineage restarts at the files."""
 
-from stationlake.session import materialize, shared_dir
+import os
+
+from stationlake.session import drop_tables, materialize, shared_dir
 
 
 def test_materialize_writes_under_the_shared_folder(spark):
@@ -15,3 +17,11 @@ def test_materialize_writes_under_the_shared_folder(spark):
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "Range" not in plan
+
+
+def test_written_tables_are_dropped(spark):
+    out = materialize(spark.range(10).selectExpr("id"), "dropped")
+    root = f"{shared_dir(spark)}/tables"
+    assert out.count() == 10 and any(n.startswith("dropped-") for n in os.listdir(root))
+    assert drop_tables(spark) >= 1 and drop_tables(spark) == 0
+    assert not any(n.startswith("dropped-") for n in os.listdir(root))

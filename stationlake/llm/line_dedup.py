@@ -113,13 +113,11 @@ def runs(levels: list[DataFrame], min_lines: int = 2) -> DataFrame | None:
                              (F.col("start") + F.col("diag")).alias("pos")).alias("src")))
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with the later copies deleted from ``text``, and n_lines, n_removed, n_runs, longest_run
-    (n_lines counts the lines with a word before the deletion)."""
-    columns = docs.columns
+def _shortened(docs: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
+    """row (all columns of ``docs``), new_text and the counts."""
     levels = suffix_levels(docs)
     gone = removed_lines(levels, min_lines, min_chars)
-    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     base = docs.select(row, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("d"),
                        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("th"))
     if gone is None:
@@ -135,14 +133,27 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MI
     text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.expr(
         "array_join(transform(array_except(sequence(0, size(lines) - 1), transform(gone, p -> worded[p])), "
         "i -> lines[i]), '\n')"))
-    return found.select(*[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in columns],
+    return found.select("row", text.alias("new_text"),
                         F.size("worded").cast("bigint").alias("n_lines"),
                         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
                         F.coalesce("n_runs", F.lit(0)).cast("bigint").alias("n_runs"),
                         F.coalesce("longest_run", F.lit(0)).cast("bigint").alias("longest_run"))
 
 
-def keep_lines(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` without the later copies; a document of which no line with a word is left is dropped."""
-    out = dedup_lines(docs.select(*docs.columns), **how)
-    return out.where("n_removed = 0 OR n_removed < n_lines").select(*docs.columns)
+_COUNTS = ["n_lines", "n_removed", "n_runs", "longest_run"]
+
+
+def _columns(docs: DataFrame, without: list[str] = ()) -> list:
+    return [(F.col("new_text") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c not in without]
+
+
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``docs`` with the later copies deleted from ``text``, and n_lines, n_removed, n_runs, longest_run
+    (n_lines counts the lines with a word before the deletion; input columns of these names are replaced)."""
+    return _shortened(docs, min_lines, min_chars).select(*_columns(docs, _COUNTS), *_COUNTS)
+
+
+def keep_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``docs`` without the later copies, same columns; a document of which no line with a word is left is dropped."""
+    out = _shortened(docs, min_lines, min_chars)
+    return out.where("n_removed = 0 OR n_removed < n_lines").select(*_columns(docs))

@@ -85,3 +85,10 @@ def test_keep_lines_and_empty_table(awkward, no_rows):
     left = {r["doc_id"] for r in out.collect()}
     assert {4, 5, 6, 1} - left <= {1} and 2 not in left  # an exact copy loses all its lines
     assert ld.dedup_lines(no_rows).count() == 0 and ld.keep_lines(no_rows).count() == 0
+
+
+def test_clashing_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "same line, long enough to count as a run", 7), (2, "same line, long enough to count as a run", 8),
+                                  (3, "other", 9)], "doc_id bigint, text string, n_removed int")
+    assert sorted(map(tuple, ld.keep_lines(docs).collect())) == [(1, docs.first()["text"], 7), (3, "other", 9)]
+    assert sorted((r["doc_id"], r["n_removed"]) for r in ld.dedup_lines(docs).collect()) == [(1, 0), (2, 1), (3, 0)]

@@ -10,9 +10,12 @@ estimates the similarity, and only a pair far below the threshold is let go.
 Every other link is confirmed on the full sets.
 
 No bucket is expanded into all its pairs. First each bucket's members meet its
-smallest one. The confirmed links give components; then only members of another
-component than the bucket's smallest meet the rest of the bucket, and only across
-components, since a link inside a component changes nothing.
+smallest one. The confirmed links give components. Then the members of all buckets
+with the same smallest one are a group, dealt into blocks; only members of another
+component than that smallest one meet the group's blocks, and only across
+components, since a link inside a component changes nothing. Blocks first compare
+signatures, then, for the members with a possible partner, the full sets; a task
+holds two blocks and emits at most one link a member and component.
 
 With 32 bands of 4 a pair at the threshold 0.75 is missed with probability
 0.684**32 = 5e-6, above it with less.
@@ -33,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import small_batches, stored, text_bytes
+from stationlake.llm.common import hinted, small_batches, stored, text_bytes
 
 WIDTH = 5
 PERCENT = 75
@@ -158,27 +161,116 @@ def similar(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     facts = sketches.select("id", "n_shingles", "sig")
     x = facts.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa"))
     y = facts.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb"))
-    return (pairs.join(x, "a").join(y, "b").where(F.expr(allowed("na", "nb", "sa", "sb", percent)))
-            .select("a", "b", "na", "nb"))
+    allowed = (f"100 * least(na, nb) >= {percent} * greatest(na, nb) AND {estimate('sa', 'sb')} >= {least_estimate(percent)}")
+    return pairs.join(x, "a").join(y, "b").where(F.expr(allowed)).select("a", "b")
 
 
-def allowed(na: str, nb: str, sa: str, sb: str, percent: int) -> str:
-    return (f"100 * least({na}, {nb}) >= {percent} * greatest({na}, {nb}) "
-            f"AND {estimate(sa, sb)} >= {least_estimate(percent)}")
+def sets_of(ids: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """id, s: the full shingle sets of the documents ``ids`` (doc_id), written to the shared folder."""
+    ids = hinted(stored(ids.distinct(), f"{name}-ids"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    return stored(shingles(texts), f"{name}-sets")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, name: str) -> DataFrame:
     """The ``pairs`` (a, b) with ``percent`` * union <= 100 * intersection of the full sets."""
     pairs = stored(pairs, f"{name}-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    sets = stored(shingles(texts), f"{name}-sets")
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, name)
     met = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("s1")), "a")
            .join(sets.select(F.col("id").alias("b"), F.col("s").alias("s2")), "b")
            .withColumn("both", F.size(F.array_intersect("s1", "s2"))))
     return met.where(100 * F.col("both") >= percent * (F.size("s1") + F.size("s2") - F.col("both"))).select("a", "b")
 
 
+#: A block holds about so many members, or shingles.
+BLOCK_ROWS = 256
+BLOCK_SHINGLES = 1 << 18
+
+
+def block_pairs(members: DataFrame, payload: list[str], name: str) -> DataFrame:
+    """low, l, r: every block of minor members of a group beside every block of the group.
+
+    ``members``: low (the group), id, root, minor, n and ``payload``; l and r are
+    arrays of structs. Blocks are dealt by a hash of the id, and the pairs of
+    blocks by group and block, so a large group is spread over many tasks.
+    """
+    sizes = (members.groupBy("low").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("all_n"),
+                                        F.count_if("minor").alias("minors")).where("minors > 0")
+             .select("low", F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("all_n") / BLOCK_SHINGLES)).alias("n_blocks")))
+    dealt = members.join(sizes, "low").withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")))
+    blocks = stored(dealt.groupBy("low", "n_blocks", "block").agg(
+        F.collect_list(F.struct("id", "root", "n", "minor", *payload)).alias("r")), f"{name}-blocks")
+    left = (blocks.select("low", "n_blocks", F.filter("r", lambda x: x["minor"]).alias("l")).where(F.size("l") > 0)
+            .select("low", "l", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_blocks") - 1)).alias("block")))
+    return left.join(blocks.select("low", "block", "r"), ["low", "block"]).select("low", "l", "r")
+
+
+def _may_link(a: pa.StructArray, b: pa.StructArray, percent: int) -> np.ndarray:
+    """Pairs (rows of a, rows of b) of different components whose sizes allow a link."""
+    col = lambda x, f: x.field(f).to_numpy(zero_copy_only=False)
+    na, nb = col(a, "n")[:, None], col(b, "n")[None, :]
+    return (col(a, "root")[:, None] != col(b, "root")[None, :]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+
+
+def with_partner(members: DataFrame, percent: int, bits: int = BITS, lanes: int = BANDS * ROWS) -> DataFrame:
+    """low, id: members that the signatures leave a possible link to another component."""
+    least, chance = least_estimate(percent), 2.0 ** -bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lows, ids = [], []
+            for i in range(batch.num_rows):
+                a, b = batch.column(1)[i].values, batch.column(2)[i].values
+                x, y = (np.asarray(z.field("sig").flatten(), np.int64).reshape(len(z), -1).view(np.uint8) for z in (a, b))
+                same = np.zeros((len(a), len(b)), np.int32)
+                for k in range(0, len(a), 32):
+                    differ = x[k:k + 32, None, :] ^ y[None, :, :]
+                    for shift in range(0, 8, bits):
+                        same[k:k + 32] += ((differ >> shift) & ((1 << bits) - 1) == 0).sum(axis=2, dtype=np.int32)
+                may = _may_link(a, b, percent) & ((same / lanes - chance) / (1 - chance) >= least)
+                for z, hit in ((a, may.any(axis=1)), (b, may.any(axis=0))):
+                    found = z.field("id").to_numpy(zero_copy_only=False)[hit]
+                    ids.append(found), lows.append(np.full(len(found), batch.column(0)[i].as_py()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (lows, ids)],
+                                             names=["low", "id"])
+
+    return block_pairs(members, ["sig"], "near-sig").mapInArrow(run, "low bigint, id bigint").distinct()
+
+
+def linked_across(members: DataFrame, percent: int) -> DataFrame:
+    """a, b: links between components, confirmed on the full sets (``s``); one for each member and other component."""
+    def common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+        """Intersection sizes of two blocks of sets, by products of 0/1 matrices over slices of the shared shingles."""
+        shared = np.intersect1d(np.unique(np.concatenate(x)), np.unique(np.concatenate(y)), assume_unique=True)
+        both = np.zeros((len(x), len(y)))
+        for k in range(0, len(shared), 8192):
+            part = shared[k:k + 8192]
+            u, v = np.zeros((len(x), len(part)), np.float32), np.zeros((len(y), len(part)), np.float32)
+            for m, sets in ((u, x), (v, y)):
+                for row, s in enumerate(sets):
+                    at = np.searchsorted(part, s)
+                    at = at[part[np.minimum(at, len(part) - 1)] == s]
+                    m[row, at] = 1
+            both += u @ v.T
+        return both
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for i in range(batch.num_rows):
+                a, b = batch.column(1)[i].values, batch.column(2)[i].values
+                x, y = ([r.values.to_numpy(zero_copy_only=False) for r in z.field("s")] for z in (a, b))
+                both = common(x, y)
+                every = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None, :] - both
+                ids, roots = (b.field(f).to_numpy(zero_copy_only=False) for f in ("id", "root"))
+                for row, hit in zip(a.field("id").to_pylist(), _may_link(a, b, percent) & (100 * both >= percent * every)):
+                    _, first = np.unique(roots[hit], return_index=True)
+                    out.extend((row, int(other)) for other in ids[hit][first])
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return block_pairs(members, ["s"], "near-set").mapInArrow(run, "a bigint, b bigint")
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """id, root (smallest id reachable): nodes of ``links`` (a, b), by alternating large and small stars.
 
@@ -222,26 +314,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     star = shared.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(confirmed(similar(star, reps, percent), docs, percent, "near-star"), "near-links")
 
-    # Buckets that the stars left in several components: what is not with the smallest member meets the rest.
+    # Groups that the stars left in several components: what is not with the smallest member meets the rest.
     roots = components(links, "near-first")
-    placed = (shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-              .join(roots.select(F.col("id").alias("low"), F.col("root").alias("low_root")), "low", "left")
-              .withColumn("low_root", F.coalesce("low_root", "low")))
-    placed = stored(placed.select("key", "id", "root", "low", "low_root"), "near-placed")
-    other = placed.where("root <> low_root")
-    open_keys = other.groupBy("key").agg(F.count(F.lit(1)).alias("others"))
-    facts = reps.select("id", "n_shingles", "sig")
-    left = other.join(facts, "id").select("key", F.col("id").alias("a"), F.col("root").alias("ra"),
-                                          F.col("n_shingles").alias("na"), F.col("sig").alias("sa"))
-    right = (placed.where("id <> low").join(open_keys, "key").join(facts, "id")
-             .select("key", F.col("id").alias("b"), F.col("root").alias("rb"), F.col("low_root"),
-                     F.col("n_shingles").alias("nb"), F.col("sig").alias("sb")))
-    # two others meet once: the smaller id on the left
-    met = left.alias("l").join(right.alias("r"), F.expr(
-        "l.key = r.key AND ra <> rb AND a <> b AND (rb = low_root OR a < b) AND "
-        + allowed("na", "nb", "sa", "sb", percent)))
-    more = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    late = confirmed(more, docs, percent, "near-late")
+    low_roots = roots.select(F.col("id").alias("low"), F.col("root").alias("low_root"))
+    placed = (shared.where("id <> low").select("low", "id").distinct().join(roots, "id", "left").join(low_roots, "low", "left")
+              .select("low", "id", F.coalesce("root", "id").alias("root"), F.coalesce("low_root", "low").alias("low_root")))
+    facts = reps.select("id", F.col("n_shingles").alias("n"), "sig")
+    placed = stored(placed.withColumn("minor", F.col("root") != F.col("low_root")).drop("low_root"), "near-placed")
+    open_groups = placed.where("minor").select("low").distinct()
+    members = stored(placed.join(open_groups, "low", "left_semi").join(facts, "id"), "near-members")
+    some = stored(with_partner(members, percent), "near-partners")
+    left = members.drop("sig").join(some, ["low", "id"], "left_semi")
+    sets = sets_of(some.select(F.col("id").alias("doc_id")), docs, "near-late")
+    late = linked_across(left.join(sets, "id"), percent)
     tied = ties.join(sketches.groupBy("doc_id").agg(F.count_distinct("set_a", "set_b").alias("sets")).where("sets > 1")
                      .select(F.col("doc_id").alias("a")), "a", "left_semi")
     final = components(links.unionByName(late).unionByName(tied.select("a", "b")), "near-final")
@@ -256,6 +341,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
 
 def keep_first(docs: DataFrame, **how) -> DataFrame:
     """One row of ``docs`` for each component (the smallest doc_id), same columns; rows without an id stay."""
-    kept = stored(near_duplicates(docs, **how).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "near-kept")
-    return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-            .unionByName(docs.where("doc_id IS NULL")))
+    kept = stored(near_duplicates(docs, **how).where("kept AND doc_id IS NOT NULL").groupBy("doc_id")
+                  .agg(F.count(F.lit(1)).alias("n")), "near-kept")
+    once, twice = kept.where("n = 1").select("doc_id"), kept.where("n > 1").select("doc_id")
+    out = docs.join(hinted(once), "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    if twice.isEmpty():
+        return out
+    return out.unionByName(docs.join(hinted(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))

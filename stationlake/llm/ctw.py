@@ -12,9 +12,10 @@ The jobs: one pass over the texts counts (context, byte) grams of the training
 documents and words for the base score (summed inside a task, then shuffled);
 contexts that share their last two bytes are weighted together, one group of a
 bounded number of grams; the two upper levels (256 contexts, then one) are
-finished from their sums. A second pass scores: the commonest grams and words,
-at most ``HOT_ROWS`` of each, travel as a broadcast of proven size, and the
-others are joined by shuffle, so the result doesn't depend on that bound.
+finished from their sums. A second pass scores: grams and words found ``COMMON``
+times or more, at most the ``HOT_ROWS`` commonest of each, travel as a broadcast
+of proven size; the rare ones are joined by shuffle, at every size of corpus, so
+the result doesn't depend on that bound.
 
 Defined results: a null text is empty (one end token, no bytes); a null doc_id
 counts as the empty text in the fold; repeated rows count each time; without
@@ -39,6 +40,8 @@ from stationlake.llm.common import small_batches, stored, text_bytes
 DEPTH = 4
 #: Entries of a broadcast table, 16 bytes each.
 HOT_ROWS = 2_000_000
+#: Rarer grams and words are joined, not broadcast (a power of two, less one).
+COMMON = 3
 #: Distinct grams held by a task before its runs are merged.
 MERGE_ROWS = 2_000_000
 GRAM, WORD, DOCS = 0, 1, 2
@@ -292,22 +295,17 @@ class Lookup:
         return value, hit
 
 
-def hottest(table: DataFrame, value: str, limit: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Keys and values of the commonest rows of a written table, at most ``limit``; whether that is all of it."""
-    rows = table.count()
-    some = table
-    if rows > limit:
-        # how often a row must be found to be among the commonest: from the counts of counts
-        by_n = table.groupBy(F.log2(F.col("n") + 1).cast("int").alias("e")).count().orderBy(F.desc("e")).collect()
-        total, least = 0, None
-        for r in by_n:
-            total += r["count"]
-            if total > limit:
-                break
-            least = r["e"]
-        some = table.where(F.log2(F.col("n") + 1).cast("int") >= least) if least is not None else table.limit(0)
-    got = some.select("key", value).toArrow()
-    return (got.column(0).to_numpy().astype(np.int64), got.column(1).to_numpy().astype(np.float64), rows <= limit)
+def hottest(table: DataFrame, value: str, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values of the common rows of a written table, at most ``limit``, the commonest first by powers of two."""
+    power = F.log2(F.col("n") + 1).cast("int")
+    total, least = 0, 64
+    for r in table.groupBy(power.alias("e")).count().orderBy(F.desc("e")).collect():
+        total += r["count"]
+        if total > limit or 2 ** r["e"] <= COMMON:
+            break
+        least = r["e"]
+    got = table.where(power >= least).select("key", value).toArrow()
+    return got.column(0).to_numpy().astype(np.int64), got.column(1).to_numpy().astype(np.float64)
 
 
 def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -323,9 +321,7 @@ def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, hot_rows: int =
     norm = train_tokens + 0.1 * (kinds + 1)
     grams = stored(gram_scores(counts, depth), "ctw-grams")
     words = counts.where(F.col("kind") == WORD).select("key", "n")
-    gram_keys, gram_lp, all_grams = hottest(grams, "lp", hot_rows)
-    word_keys, word_n, all_words = hottest(words, "n", hot_rows)
-    tables = spark.sparkContext.broadcast({"gram": (gram_keys, gram_lp), "word": (word_keys, word_n)})
+    tables = spark.sparkContext.broadcast({"gram": hottest(grams, "lp", hot_rows), "word": hottest(words, "n", hot_rows)})
     end = math.log10((n_docs + 0.1) / norm)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,12 +346,10 @@ def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, hot_rows: int =
             word = np.concatenate(codes)
             w_of = np.repeat(np.arange(len(texts)), n_of)
             n, seen = word_table.get(word)
-            # a word of no table is unknown if the table is whole, else it is looked up by the join
-            decided = seen | all_words
-            base = np.bincount(w_of, np.where(decided, np.log10((n + 0.1) / norm), 0.0), len(texts)) + end
+            base = np.bincount(w_of, np.where(seen, np.log10((n + 0.1) / norm), 0.0), len(texts)) + end
             known = np.bincount(w_of, seen, len(texts)).astype(np.int64) + (1 if n_docs else 0)
             yield batch(GRAM - 1, rids, b.column(0), b.column(2), n_of + 1, known, base, scores, sizes)
-            for kind, key, rows, miss in ((GRAM, code, of, ~hit), (WORD, word, w_of, ~decided)):
+            for kind, key, rows, miss in ((GRAM, code, of, ~hit), (WORD, word, w_of, ~seen)):
                 if miss.any():
                     pairs, times = np.unique(np.stack([rows[miss], key[miss]]), axis=1, return_counts=True)
                     yield batch(kind, rids[pairs[0]], None, None, times, pairs[1], None, None, None)
@@ -377,19 +371,16 @@ def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, hot_rows: int =
     rows = stored(folded.mapInArrow(run, f"kind int, rid bigint, doc_id {id_type}, held_out boolean, a bigint, b bigint, "
                                          "x double, y double, size bigint"), "ctw-rows")
     heads = rows.where(F.col("kind") == GRAM - 1)
-    if all_grams and all_words:
-        summed = heads.withColumns({"known": F.col("b"), "base": F.col("x"), "lp": F.col("y")})
-    else:
-        rare = rows.where(F.col("kind") >= GRAM).select("kind", "rid", F.col("a").alias("times"), F.col("b").alias("key"))
-        g = rare.where(F.col("kind") == GRAM).join(grams.select("key", "lp"), "key").select(
-            "rid", (F.col("times") * F.col("lp")).alias("lp"), F.lit(0.0).alias("base"), F.lit(0).cast("bigint").alias("known"))
-        c = F.coalesce(F.col("n"), F.lit(0))
-        w = rare.where(F.col("kind") == WORD).join(words, "key", "left").select(
-            "rid", F.lit(0.0).alias("lp"), (F.col("times") * F.log10((c + 0.1) / F.lit(norm))).alias("base"),
-            F.when(c > 0, F.col("times")).otherwise(0).cast("bigint").alias("known"))
-        more = g.unionByName(w).groupBy("rid").agg(*[F.sum(x).alias(f"more_{x}") for x in ("lp", "base", "known")])
-        summed = heads.join(more, "rid", "left").withColumns(
-            {o: F.col(i) + F.coalesce(f"more_{o}", F.lit(0)) for o, i in (("known", "b"), ("base", "x"), ("lp", "y"))})
+    rare = rows.where(F.col("kind") >= GRAM).select("kind", "rid", F.col("a").alias("times"), F.col("b").alias("key"))
+    g = rare.where(F.col("kind") == GRAM).join(grams.select("key", "lp"), "key").select(
+        "rid", (F.col("times") * F.col("lp")).alias("lp"), F.lit(0.0).alias("base"), F.lit(0).cast("bigint").alias("known"))
+    c = F.coalesce(F.col("n"), F.lit(0))
+    w = rare.where(F.col("kind") == WORD).join(words, "key", "left").select(
+        "rid", F.lit(0.0).alias("lp"), (F.col("times") * F.log10((c + 0.1) / F.lit(norm))).alias("base"),
+        F.when(c > 0, F.col("times")).otherwise(0).cast("bigint").alias("known"))
+    more = g.unionByName(w).groupBy("rid").agg(*[F.sum(x).alias(f"more_{x}") for x in ("lp", "base", "known")])
+    summed = heads.join(more, "rid", "left").withColumns(
+        {o: F.col(i) + F.coalesce(f"more_{o}", F.lit(0)) for o, i in (("known", "b"), ("base", "x"), ("lp", "y"))})
     log10 = F.col("lp") / F.lit(math.log(10))
     return summed.select(
         "doc_id", "held_out", F.col("a").alias("n_tokens"), F.col("known").cast("bigint").alias("n_known"),

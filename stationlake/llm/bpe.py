@@ -17,7 +17,6 @@ read, so other columns may have any name; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,7 +29,7 @@ CHUNK_CHARS = 1 << 15
 OVERLAP = 512
 #: Characters behind a place that the pattern may look at to end a piece there.
 AHEAD = 4
-#: Bytes after which a worker's cache of encoded pieces is emptied.
+#: Pieces after which a worker's cache is emptied.
 CACHE_PIECES = 400_000
 
 
@@ -278,7 +277,3 @@ def reference_ids(text: str, ranks: dict[bytes, int], pattern: str) -> list[int]
     import regex
 
     return [i for p in regex.findall(pattern, text) for i in merge_piece(p.encode("utf-8"), ranks)]
-
-
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

@@ -30,7 +30,7 @@ OVERLAP = 512
 #: Characters behind a place that the pattern may look at to end a piece there.
 AHEAD = 4
 #: Pieces after which a worker's cache is emptied.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -130,9 +130,12 @@ def _state(shared: dict) -> tuple:
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk_chars: int = CHUNK_CHARS,
-           overlap: int = OVERLAP) -> DataFrame:
+           overlap: int = OVERLAP, decoded: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids (binary, little-endian unsigned 32-bit): one row for each row of ``docs``.
 
+    With ``decoded`` also the bytes that the ids decode to, made in the same pass
+    (a second one would need as many Python workers again).
+
     Texts of one chunk are encoded where they are read. Longer ones become chunk
     rows that are dealt out over the cluster twice: for the boundaries of the
     overlaps, and for the pieces. ``ranks_path`` is a file of the vocabulary
@@ -144,15 +147,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk_chars: int = CH
     base = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, cache, _ = _state(shared.value)
+        find, cache, token = _state(shared.value)
         for b in batches:
             ids = [b"".join(map(cache.__getitem__, find.findall(t))) for t in b.column(1).to_pylist()]
+            raw = [bytes_of(x, token) if decoded else None for x in ids]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=["doc_id", "n_tokens", "ids"])
+                [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
+                 pa.array(raw, pa.binary())], names=["doc_id", "n_tokens", "ids", "decoded"])
 
     id_type = base.schema["doc_id"].dataType.simpleString()
-    result = f"doc_id {id_type}, n_tokens bigint, ids binary"
+    result = f"doc_id {id_type}, n_tokens bigint, ids binary, decoded binary"
     short = base.where(F.length("text") <= chunk_chars).mapInArrow(whole, result)
     long = base.where(F.length("text") > chunk_chars)
     # Rows of equal id and text are interchangeable: one is encoded, and counted.
@@ -221,7 +225,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk_chars: int = CH
               .repartition(F.col("h"), F.col("span")))
 
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, cache, _ = _state(shared.value)
+        find, cache, token = _state(shared.value)
         for b in batches:
             ids = []
             for part, ahead in zip(b.column("part").to_pylist(), b.column("ahead").to_pylist()):
@@ -233,15 +237,23 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk_chars: int = CH
                     out.append(cache[m.group()])
                 ids.append(b"".join(out))
             yield pa.RecordBatch.from_arrays(
-                [b.column(n) for n in ("doc_id", "h", "copies", "span")] + [pa.array(ids, pa.binary())],
-                names=["doc_id", "h", "copies", "span", "ids"])
-
-    coded = pieces.mapInArrow(encode_pieces, f"doc_id {id_type}, h string, copies bigint, span int, ids binary")
-    joined = (coded.groupBy(*key, "copies").agg(F.sort_array(F.collect_list(F.struct("span", "ids"))).alias("p"))
-              .select("doc_id", "copies", F.expr("aggregate(p, X'', (a, x) -> a || x.ids)").alias("ids"))
-              .select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids",
+                [b.column(n) for n in ("doc_id", "h", "copies", "span")]
+                + [pa.array(ids, pa.binary()), pa.array([bytes_of(x, token) if decoded else None for x in ids], pa.binary())],
+                names=["doc_id", "h", "copies", "span", "ids", "decoded"])
+
+    coded = pieces.mapInArrow(encode_pieces, f"doc_id {id_type}, h string, copies bigint, span int, ids binary, decoded binary")
+    joined = (coded.groupBy(*key, "copies").agg(F.sort_array(F.collect_list(F.struct("span", "ids", "decoded"))).alias("p"))
+              .select("doc_id", "copies", F.expr("aggregate(p, X'', (a, x) -> a || x.ids)").alias("ids"),
+                      F.expr("aggregate(p, X'', (a, x) -> a || x.decoded)").alias("decoded"))
+              .select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids", "decoded",
                       F.explode(F.expr("sequence(1, CAST(copies AS INT))")).alias("copy")).drop("copy"))
-    return short.unionByName(joined)
+    both = short.unionByName(joined)
+    return both if decoded else both.drop("decoded")
+
+
+def bytes_of(ids: bytes, token: dict[int, bytes]) -> bytes:
+    """The raw bytes of packed ids, one token after another."""
+    return b"".join(map(token.__getitem__, memoryview(ids).cast("I"))) if ids else b""
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -254,11 +266,8 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
         table = shared.value
         if "bytes" not in table:
             table["bytes"] = {v: k for k, v in table["ranks"].items()}
-        get = table["bytes"].__getitem__
-        import numpy as np
-
         for b in batches:
-            raw = [b"".join(map(get, np.frombuffer(x or b"", dtype="<u4").tolist())) for x in b.column(at).to_pylist()]
+            raw = [bytes_of(x or b"", table["bytes"]) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(b.columns + [pa.array(raw, pa.binary())], names=b.schema.names + ["decoded"])
 
     return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
@@ -267,7 +276,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, **how) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row (the round trip as digests)."""
-    return (decode(encode(docs, ranks_path, pattern, **how), ranks_path)
+    return (encode(docs, ranks_path, pattern, decoded=True, **how)
             .select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                     F.sha2("decoded", 256).alias("decoded_sha256")))
 

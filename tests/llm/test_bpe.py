@@ -28,6 +28,12 @@ def test_digests_equal_the_library(awkward, pairs_of, chunk, overlap):
     assert sorted(map(tuple, rows), key=order) == sorted(((d, *digest(t)) for d, t in pairs_of), key=order)
 
 
+def test_decode_alone(awkward, pairs_of):
+    raw = bpe.decode(bpe.encode(awkward, PATH, P.PATTERN), PATH).collect()
+    assert sorted(((r["doc_id"], bytes(r["decoded"])) for r in raw), key=lambda r: (r[0] or -1, r[1])) == sorted(
+        ((d, (t or "").encode()) for d, t in pairs_of), key=lambda r: (r[0] or -1, r[1]))
+
+
 def test_empty_table(no_rows):
     assert bpe.digests(no_rows, PATH, P.PATTERN).count() == 0
 

@@ -48,8 +48,10 @@ IMPLIED = {
 WALLS = frozenset("table td th caption html template".split())
 PARTS = frozenset("td th tr thead tbody tfoot caption".split())
 
-MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
-ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+# a quote delimits a value only directly after "="; an unclosed one is part of a name, so the tag ends at the next ">"
+MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)"""
+                    r"""((?:[\s/]+|[^\s/>][^\s/>=]*(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?)?)*+)>""", re.S)
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*))?)?""")
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 SPACES = re.compile(r"[ \t\n\r\f]+")
 #: Cells are padded up to this width; wider ones stay whole.
@@ -159,6 +161,16 @@ class Flow:
         self.put(body, indent)
         self.space = words[-1] == " "
 
+    def verbatim(self, text: str) -> None:
+        """Text of a <pre>: its line ends stay, those at either end as due before what follows."""
+        body = text.strip("\n")
+        if not body:
+            self.gap += len(text)
+            return
+        self.gap += len(text) - len(text.lstrip("\n"))
+        self.put(body, "")
+        self.gap = len(text) - len(text.rstrip("\n"))
+
     def text(self) -> str:
         return "".join(self.parts)
 
@@ -177,9 +189,10 @@ def render(page: str) -> str:
     flows, tables, lists = [Flow()], [], []
     hidden, pre = 0, 0
     opened: list[tuple[str, bool]] = []  # tag, whether it hides
-    marker = ""
+    marker, fresh = "", False  # fresh: a <pre> has just been opened, and a line end would not count
     for kind, what, attrs in events(page):
         flow = flows[-1]
+        fresh = fresh and kind == "text"
         if kind == "text":
             if hidden:
                 continue
@@ -188,8 +201,10 @@ def render(page: str) -> str:
             if marker and text.strip():
                 flow.put(f"{indent}{marker}".rstrip(), "")
                 flow.space, marker = True, ""
-            if pre and text.strip("\n"):
-                flow.put(text.strip("\n"), "")
+            if pre:
+                text = text.replace("\r\n", "\n").replace("\r", "\n")
+                flow.verbatim(text.removeprefix("\n") if fresh else text)
+                fresh = False
             else:
                 flow.inline(text, "  " * len(lists) if lists and flow.gap else "")
         elif kind == "open":
@@ -198,7 +213,9 @@ def render(page: str) -> str:
             hidden += hides
             if hidden:
                 continue
-            if what == "br":
+            if what == "br" and pre:
+                flow.gap += 1
+            elif what == "br":
                 flow.block(1)
             elif what in LISTS:
                 flow.block(1 if lists else 2)
@@ -222,7 +239,7 @@ def render(page: str) -> str:
                 flows.append(Flow())
             elif what == "pre":
                 flow.block(2)
-                pre += 1
+                pre, fresh = pre + 1, True
             elif what == "img":
                 if attrs.get("alt", "").strip():
                     flow.inline(f" {attrs['alt']} ", "")
@@ -250,7 +267,7 @@ def render(page: str) -> str:
                 flow.block(2)
             elif tag == "pre":
                 pre -= 1
-                flow.block(2)
+                flow.gap, flow.space = 2, False
             elif tag == "li":
                 marker = ""
                 flow.block(1)

@@ -62,3 +62,49 @@ def test_all_visible_words_stay(spark, sf_dir):
         want = html.unescape(re.sub(r"(?s)<[^>]+>", " ", bare)).split()
         got = h.render(r["html"])
         assert sorted("".join(want)) == sorted("".join(re.sub(r"(?m)^\s*(- |\d+\. )", "", got).split())) or len(got.split()) >= len(want)
+
+
+def test_odd_quotes_end_no_later_than_the_tag():
+    assert h.render("<p title=it's>Hello</p><p>don't</p>") == "Hello\n\ndon't"
+    assert h.render('<a href="x"">text</a> of <b class="y">any</b> length') == "text of any length"
+    assert h.render('<p title=it"s>no later quote</p>') == "no later quote"
+    assert h.render("<p title = 'a > b' alt=\">\" hidden=x>no</p><p a='>'>yes</p>") == "yes"
+    assert h.render("<p a=b/c'd style=display:none>no</p><p a= >yes") == "yes"
+    assert h.render("<div hidden / >no</div><img alt=x/y><a href='open>shown") == "x/y shown"
+    assert h.render("<p a='''>x</p>" * 3000).count("x") == 3000
+
+
+def test_line_ends_in_pre_stay():
+    assert h.render("<pre>one\n<b>two</b></pre>") == "one\ntwo"
+    assert h.render("a<pre>\n<i>x = 1</i>\n<i>  y</i>\r\n\n    <i>z</i>\n</pre>b") == "a\n\nx = 1\n  y\n\n    z\n\nb"
+    assert h.render("<pre>a<br>b<br><br>c\n</pre><p>d") == "a\nb\n\nc\n\nd"
+    assert h.render("<pre>\n\n</pre>x<pre><textarea></textarea></pre>") == "x"
+
+
+def test_visible_words_equal_a_parser(spark, sf_dir):
+    import re
+    from html.parser import HTMLParser
+
+    class Words(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.skip, self.out = 0, []
+
+        def handle_starttag(self, tag, attrs):
+            self.skip += tag in ("script", "style", "title")
+            self.out.append("\1" if tag == "li" else "")
+
+        def handle_endtag(self, tag):
+            self.skip -= tag in ("script", "style", "title")
+
+        def handle_data(self, data):
+            if not self.skip:
+                self.out.append(data)
+
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        p = Words()
+        p.feed(r["html"] or "")
+        p.close()
+        want = re.sub("[\\s\xa0]+", "", "".join(p.out))
+        got = re.sub("[\\s\xa0]+", "", re.sub(r"(?m)^\s*(?:- |\d+\. )", "\1", h.render(r["html"] or "")))
+        assert got == want, r["page_id"]

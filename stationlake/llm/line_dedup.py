@@ -9,10 +9,12 @@ longest repeated run. A rank class is an interval of the suffix array whose
 longest common prefix is 2**k lines at least; its smallest (doc_id, line) is the
 original and the others are later copies.
 
-A later copy is deleted when the run has ``min_lines`` lines (a power of two) or
-is one line of ``min_chars`` characters. Every longer run is covered by such
-windows, so the deletion is whole whatever the run's length. ``runs`` joins the
-windows of one diagonal to maximal repeated runs.
+A later copy is deleted when the run has ``min_lines`` lines (a power of two), is
+one line of ``min_chars`` characters, or has fewer lines that are all shorter but
+have ``min_chars`` together. Every longer run is covered by such windows, so the
+deletion is whole whatever the run's length. ``reaches`` goes from the longest
+2**k lines of a place down the lower ranks to the longest run that any earlier
+place has too; a run that isn't the rest of the one before it is maximal.
 
 Defined results: a null text has no lines; lines without a word are never part
 of a run and stay where they are; order is by doc_id (null first), a hash of the
@@ -74,6 +76,20 @@ def suffix_levels(docs: DataFrame) -> list[DataFrame]:
         k += 1
 
 
+def short_runs(places: DataFrame, min_lines: int, min_chars: int) -> list[DataFrame]:
+    """d, th, pos, n_lines: later copies of less than ``min_lines`` lines, each below ``min_chars`` but not all together;
+    ``places`` is the level of single lines."""
+    out = []
+    for n in range(2, min_lines):
+        ahead = Window.partitionBy("d", "th").orderBy("pos").rangeBetween(0, n - 1)
+        windows = (places.select(*_AT, F.collect_list("rank").over(ahead).alias("key"), F.max("chars").over(ahead).alias("most"),
+                                 F.sum("chars").over(ahead).alias("all"))
+                   .where((F.size("key") == n) & (F.col("most") < min_chars) & (F.col("all") >= min_chars)))
+        first = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_AT)).alias("first")).where("n > 1")
+        out.append(windows.join(first, "key").where(F.col("first") < F.struct(*_AT)).select(*_AT, F.lit(n).alias("n_lines")))
+    return out
+
+
 def removed_lines(levels: list[DataFrame], min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame | None:
     """d, th, gone (sorted places of the lines to delete); None if nothing repeats."""
     if min_lines < 1 or min_lines & (min_lines - 1):
@@ -82,35 +98,66 @@ def removed_lines(levels: list[DataFrame], min_lines: int = MIN_LINES, min_chars
         return None
     marks = levels[0].where(F.col("later") & (F.col("chars") >= min_chars)).select(*_AT)
     k = min_lines.bit_length() - 1
+    windows = short_runs(levels[0], min_lines, min_chars)
     if k < len(levels):
-        windows = levels[k].where("later")
-        marks = marks.unionByName(windows.select("d", "th", F.explode(F.sequence(
-            F.col("pos"), F.col("pos") + min_lines - 1)).alias("pos")))
+        windows.append(levels[k].where("later").select(*_AT, F.lit(min_lines).alias("n_lines")))
+    for w in windows:
+        marks = marks.unionByName(w.select("d", "th", F.explode(F.expr("sequence(pos, pos + n_lines - 1)")).alias("pos")))
     return marks.groupBy("d", "th").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
 
 
+def reaches(levels: list[DataFrame]) -> DataFrame | None:
+    """d, th, pos, len, first: the longest run from each place that an earlier place has too, and the first such place.
+
+    A class holds all places with the same ``len`` lines; a place is open in the class of the longest run known to
+    occur earlier. Step k tries 2**k lines more on every class that has an open place."""
+    if not levels:
+        return None
+    place = F.struct(*_AT)
+    tops = [x.where("later").select(*_AT, F.lit(k).alias("k"), "first") for k, x in enumerate(levels)]
+    every = tops[0]
+    for t in tops[1:]:
+        every = every.unionByName(t)
+    top = stored(every.groupBy(*_AT).agg(F.max(F.struct("k", "first")).alias("m"))
+                 .select(*_AT, "m.k", "m.first"), "lines-tops")
+    state = None  # d, th, pos, len, x, y (the class), first, open
+    for k in range(len(levels) - 1, -1, -1):
+        if state is not None:
+            ahead = levels[k].select("d", "th", F.col("pos").alias("to"), F.col("rank").alias("b"))
+            longer = (state.withColumn("to", F.col("pos") + F.col("len")).join(ahead, ["d", "th", "to"])
+                      .select(*_AT, "len", F.xxhash64("x", "y", "b").alias("nx"), F.xxhash64("y", "b", "x").alias("ny"), "open"))
+            again = (longer.groupBy("nx", "ny", "len").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"),
+                                                           F.max(F.when(F.col("open"), place)).alias("last"))
+                     .where("n > 1 AND first < last").drop("n", "last"))
+            longer = stored(longer.join(again, ["nx", "ny", "len"]).select(
+                *_AT, (F.col("len") + (1 << k)).alias("len"), F.col("nx").alias("x"), F.col("ny").alias("y"), "first",
+                (F.col("open") & (F.col("first") < place)).alias("open")), f"lines-longer-{k}")
+            went = longer.where("open").select(*_AT, F.lit(True).alias("went"))
+            state = (state.join(went, _AT, "left").withColumn("open", F.col("open") & F.col("went").isNull()).drop("went")
+                     .unionByName(longer))
+        here = top.where(F.col("k") == k)
+        if k == 0:
+            ended = here.select(*_AT, F.lit(1).alias("len"), "first")
+            return ended if state is None else ended.unionByName(state.where("open").select(*_AT, "len", "first"))
+        members = (levels[k].join(here.select(*_AT, F.lit(True).alias("open")), _AT, "left")
+                   .select(*_AT, F.lit(1 << k).alias("len"), F.col("rank").alias("x"), F.lit(k).cast("bigint").alias("y"),
+                           "first", F.coalesce("open", F.lit(False)).alias("open")))
+        state = members if state is None else state.unionByName(members)
+        state = stored(state, f"lines-state-{k}")
+        tried = state.where("open").select("x", "y", "len").distinct()
+        state = stored(state.join(tried, ["x", "y", "len"], "left_semi"), f"lines-open-{k}")
+
+
 def runs(levels: list[DataFrame], min_lines: int = 2) -> DataFrame | None:
     """d, th, start, n_lines, src (place of the original's first line): maximal later copies of ``min_lines`` lines."""
-    parts = [x.where("later").select(*_AT, F.lit(1 << k).alias("len"), "first") for k, x in enumerate(levels)]
-    if not parts:
+    found = reaches(levels)
+    if found is None:
         return None
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    longest = every.groupBy(*_AT).agg(F.max(F.struct("len", "first")).alias("m"))
-    rows = longest.select("d", "th", "pos", (F.col("pos") + F.col("m.len")).alias("stop"),
-                          F.col("m.first.d").alias("sd"), F.col("m.first.th").alias("sth"),
-                          (F.col("m.first.pos") - F.col("pos")).alias("diag"))
-    one = ["d", "th", "sd", "sth", "diag"]
-    w = Window.partitionBy(*one).orderBy("pos")
-    reach = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("new", (reach.isNull() | (F.col("pos") > reach)).cast("int"))
-    return (rows.withColumn("run", F.sum("new").over(w)).groupBy(*one, "run")
-            .agg(F.min("pos").alias("start"), (F.max("stop") - F.min("pos")).alias("n_lines"))
-            .where(F.col("n_lines") >= min_lines)
-            .select("d", "th", "start", "n_lines",
-                    F.struct(F.col("sd").alias("d"), F.col("sth").alias("th"),
-                             (F.col("start") + F.col("diag")).alias("pos")).alias("src")))
+    w = Window.partitionBy("d", "th").orderBy("pos")
+    stop = F.col("pos") + F.col("len")
+    return (found.withColumn("before", F.lag(stop).over(w))
+            .where((F.col("before").isNull() | (stop > F.col("before"))) & (F.col("len") >= min_lines))
+            .select("d", "th", F.col("pos").alias("start"), F.col("len").alias("n_lines"), F.col("first").alias("src")))
 
 
 def _shortened(docs: DataFrame, min_lines: int, min_chars: int) -> DataFrame:

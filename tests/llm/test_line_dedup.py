@@ -92,3 +92,60 @@ def test_clashing_columns_stay(spark):
                                   (3, "other", 9)], "doc_id bigint, text string, n_removed int")
     assert sorted(map(tuple, ld.keep_lines(docs).collect())) == [(1, docs.first()["text"], 7), (3, "other", 9)]
     assert sorted((r["doc_id"], r["n_removed"]) for r in ld.dedup_lines(docs).collect()) == [(1, 0), (2, 1), (3, 0)]
+
+
+def maximal_runs(rows):
+    """(doc, start, lines) of the runs that an earlier place has too and that are no part of a longer one, by brute force."""
+    places = [(d, i) for d, lines in rows for i in range(len(lines))]
+    of = dict(rows)
+    out = []
+    for d, lines in rows:
+        before = 0
+        for i in range(len(lines)):
+            most = 0
+            for e, j in places:
+                if (e, j) >= (d, i):
+                    break
+                n = 0
+                while i + n < len(lines) and j + n < len(of[e]) and lines[i + n] == of[e][j + n]:
+                    n += 1
+                most = max(most, n)
+            if most and i + most > before:
+                out.append((d, i, most))
+            before = i + most
+    return out
+
+
+def test_runs_equal_brute_force_on_overlapping_copies(spark):
+    rng = random.Random(11)
+    rows = [(1, list("bcde")), (2, list("abcdex")), (3, list("abcde"))]
+    long = [f"l{i}" for i in range(60)]
+    for d in range(4, 60):
+        lines = []
+        for _ in range(rng.randrange(1, 5)):
+            i = rng.randrange(50)
+            lines += long[i:i + rng.randrange(1, 30)] if rng.random() < 0.6 else [rng.choice("abcde") for _ in range(rng.randrange(6))]
+        rows.append((d, lines))
+    docs = spark.createDataFrame([(d, "\n".join(x)) for d, x in rows], "doc_id bigint, text string")
+    want = maximal_runs(rows)
+    assert [r for r in want if r[0] == 3] == [(3, 0, 5)]
+    found = ld.runs(ld.suffix_levels(docs), 1).collect()
+    assert sorted((r["d"], r["start"], r["n_lines"]) for r in found) == want
+    of = dict(rows)
+    for r in found:
+        e, j = r["src"]["d"], r["src"]["pos"]
+        assert (e, j) < (r["d"], r["start"])
+        assert of[e][j:j + r["n_lines"]] == of[r["d"]][r["start"]:r["start"] + r["n_lines"]]
+    for r in ld.dedup_lines(docs).collect():
+        own = [n for d, _, n in want if d == r["doc_id"]]
+        assert (r["n_runs"], r["longest_run"]) == (len(own), max(own, default=0))
+
+
+def test_runs_of_few_short_lines_go_by_their_characters(spark):
+    menu = "Home and news pages\nContact and imprint"
+    sign = "Kind regards to all\nA. N. Other\nphone 123 456"
+    docs = spark.createDataFrame([(1, f"x\n{menu} \ny"), (2, f"p\n{menu} \n{sign}"), (3, f"{sign}\nHome and news pages\nq"),
+                                  (4, "A. N. Other\nphone 123 456\nend")], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in ld.dedup_lines(docs, min_chars=39).collect()}
+    assert got == {1: (f"x\n{menu} \ny", 0), 2: (f"p\n{sign}", 2), 3: ("Home and news pages\nq", 3),
+                   4: ("A. N. Other\nphone 123 456\nend", 0)}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import (bpe, chat_format, ctw, html_text, line_dedup, mixing, near_dedup, passages, quality_rules,
+from stationlake.llm import (align, bpe, chat_format, ctw, html_text, line_dedup, mixing, near_dedup, passages, quality_rules,
                              topk_index)
 from stationlake.llm.common import read_table
 from stationlake.llm.oracles import ORACLE
@@ -72,5 +72,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.scored(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
 QUERIES = {f.__name__: f for f in (op1_topk_search, op2_near_dedup, op3_chat_format, op4_quality_rules, op5_line_dedup,
-                                   op6_context_tree, op7_fuzzy_passages, op8_html_text, op9_mixing, op10_byte_bpe)}
+                                   op6_context_tree, op7_fuzzy_passages, op8_html_text, op9_mixing, op10_byte_bpe,
+                                   op11_token_alignment)}

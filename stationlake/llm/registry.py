@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import (align, bpe, chat_format, ctw, html_text, line_dedup, mixing, near_dedup, passages, quality_rules,
-                             topk_index)
+from stationlake.llm import (align, bpe, chat_format, ctw, decontaminate, html_text, line_dedup, mixing, near_dedup, passages,
+                             quality_rules, topk_index)
 from stationlake.llm.common import read_table
 from stationlake.llm.oracles import ORACLE
 
@@ -77,6 +77,13 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {f.__name__: f for f in (op1_topk_search, op2_near_dedup, op3_chat_format, op4_quality_rules, op5_line_dedup,
                                    op6_context_tree, op7_fuzzy_passages, op8_html_text, op9_mixing, op10_byte_bpe,
-                                   op11_token_alignment)}
+                                   op11_token_alignment, op12_decontaminate)}

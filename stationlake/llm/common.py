@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,3 +85,26 @@ def hinted(small: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``small`` (a written table) with a broadcast hint if its measured size is
     within ``limit``; else as it is, for a shuffled join with the same result."""
     return F.broadcast(small) if measured_bytes(small) <= limit else small
+
+
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str, drop: list[str] = ()) -> DataFrame:
+    """``df`` (without ``drop``) and nth, from 0: the place of each row among those of its ``group``, in ascending ``order``
+    (null first; equal rows in any order).
+
+    No window holds a group: the rows are range partitioned and sorted, so that a large group spans several
+    partitions, and written; a row's place is its place in its partition's stretch of the group plus the counts of
+    the stretches before. What is grouped by one key is one row a partition.
+    """
+    dealt = (df.withColumn("_tie", F.monotonically_increasing_id())
+             .repartitionByRange(*group, *order, "_tie").sortWithinPartitions(*group, *order, "_tie")
+             .withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id()))
+    rows = stored(dealt.drop("_tie", *drop), name)
+    stretches = rows.groupBy(*group, "_part").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stretches.select(*[F.col(g).alias(f"_{g}") for g in group], F.col("_part").alias("_p"), "_first",
+                              F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    same = rows["_part"] == starts["_p"]
+    for g in group:
+        same = same & rows[g].eqNullSafe(starts[f"_{g}"])
+    return (rows.join(starts, same).withColumn("nth", F.col("_before") + F.col("_seq") - F.col("_first"))
+            .drop("_part", "_p", "_seq", "_first", "_before", *[f"_{g}" for g in group]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stationlake.llm import chat_format, decontaminate
+from stationlake.llm import chat_format, decontaminate, turn_trie
 from stationlake.llm.near_dedup import PERCENT
 from stationlake.llm.quality_rules import (DUP_LINE_PERCENT, MAX_HOST_RATE, MIN_WORDS, REPEAT_PERCENT, REPEAT_WINDOW,
                                            SYMBOL_PERCENT)
@@ -82,4 +82,5 @@ FROM f LEFT JOIN verdict USING (source)
 """
 
 ORACLE = {"op1_topk_search": TOPK, "op2_near_dedup": NEAR, "op3_chat_format": chat_format.ORACLE,
-          "op4_quality_rules": QUALITY, "op12_decontaminate": decontaminate.ORACLE}
+          "op4_quality_rules": QUALITY, "op12_decontaminate": decontaminate.ORACLE,
+          "op13_turn_trie": turn_trie.ORACLE}

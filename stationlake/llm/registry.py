@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.llm import (align, bpe, chat_format, ctw, decontaminate, html_text, line_dedup, mixing, near_dedup, passages,
-                             quality_rules, topk_index)
+                             quality_rules, topk_index, turn_trie)
 from stationlake.llm.common import read_table
 from stationlake.llm.oracles import ORACLE
 
@@ -84,6 +84,12 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turn_trie.numbered_turns(read_table(spark, sf_dir, "conversations"))
+    return turn_trie.trie(*turn_trie.rebuilt(turns))
+
+
 QUERIES = {f.__name__: f for f in (op1_topk_search, op2_near_dedup, op3_chat_format, op4_quality_rules, op5_line_dedup,
                                    op6_context_tree, op7_fuzzy_passages, op8_html_text, op9_mixing, op10_byte_bpe,
-                                   op11_token_alignment, op12_decontaminate)}
+                                   op11_token_alignment, op12_decontaminate,
+                                   op13_turn_trie)}

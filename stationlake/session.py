@@ -73,15 +73,21 @@ def table_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_tables(spark: SparkSession) -> int:
-    """Delete the intermediate tables that this process has written; returns how many.
+def written() -> list[str]:
+    """The intermediate tables that this process has written and not deleted, oldest first."""
+    return list(_WRITTEN)
+
+
+def drop_tables(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete the intermediate tables that this process has written, or those of them in ``paths``; returns how many.
 
     A query's result reads its intermediate tables when it runs, so call this
     once the results are consumed (or written elsewhere).
     """
     jvm, n = spark._jvm, 0
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+    for place in written() if paths is None else [p for p in paths if p in _WRITTEN]:
+        _WRITTEN.remove(place)
+        path = jvm.org.apache.hadoop.fs.Path(place)
         n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
     return n
 

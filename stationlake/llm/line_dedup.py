@@ -58,10 +58,11 @@ def ranked(pairs: DataFrame, name: str) -> DataFrame:
     return stored(classes, f"{name}-ranks")
 
 
-def suffix_levels(docs: DataFrame) -> list[DataFrame]:
-    """For k = 0, 1, ...: d, th, pos, rank, first, later, chars of each suffix whose first 2**k lines repeat."""
+def suffix_levels(docs: DataFrame, last: int | None = None) -> list[DataFrame]:
+    """For k = 0, 1, ... (``last`` at most): d, th, pos, rank, first, later, chars of each suffix whose first 2**k lines
+    repeat."""
     pairs, levels, k = line_ids(docs), [], 0
-    while True:
+    while last is None or k <= last:
         names = ranked(pairs, f"lines-{k}")
         if names.isEmpty():
             return levels
@@ -74,6 +75,7 @@ def suffix_levels(docs: DataFrame) -> list[DataFrame]:
         pairs = (levels[-1].select(*_AT, F.col("rank").alias("a"), F.max("rank").over(ahead).alias("b"), "chars")
                  .where("b IS NOT NULL"))
         k += 1
+    return levels
 
 
 def short_runs(places: DataFrame, min_lines: int, min_chars: int) -> list[DataFrame]:
@@ -160,15 +162,17 @@ def runs(levels: list[DataFrame], min_lines: int = 2) -> DataFrame | None:
             .select("d", "th", F.col("pos").alias("start"), F.col("len").alias("n_lines"), F.col("first").alias("src")))
 
 
-def _shortened(docs: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
-    """row (all columns of ``docs``), new_text and the counts."""
-    levels = suffix_levels(docs)
+def _shortened(docs: DataFrame, min_lines: int, min_chars: int, with_runs: bool = True) -> DataFrame:
+    """row (all columns of ``docs``), new_text and the counts; those of the runs only ``with_runs``."""
+    levels = suffix_levels(docs, None if with_runs else min_lines.bit_length() - 1)
     gone = removed_lines(levels, min_lines, min_chars)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     base = docs.select(row, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("d"),
                        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("th"))
     if gone is None:
         found = base.withColumns({"gone": F.lit(None).cast("array<int>"), "n_runs": F.lit(0), "longest_run": F.lit(0)})
+    elif not with_runs:
+        found = base.join(stored(gone, "lines-gone"), ["d", "th"], "left").withColumns({"n_runs": F.lit(0), "longest_run": F.lit(0)})
     else:
         each = runs(levels, 1).groupBy("d", "th").agg(F.count(F.lit(1)).alias("n_runs"),
                                                       F.max("n_lines").alias("longest_run"))
@@ -202,5 +206,5 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MI
 
 def keep_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` without the later copies, same columns; a document of which no line with a word is left is dropped."""
-    out = _shortened(docs, min_lines, min_chars)
+    out = _shortened(docs, min_lines, min_chars, with_runs=False)
     return out.where("n_removed = 0 OR n_removed < n_lines").select(*_columns(docs))

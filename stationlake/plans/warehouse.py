@@ -3,8 +3,10 @@
 raw folder (*.dly, <station>.csv) -> audit table -> curated daily table,
 plus the station, element and date dimensions and a load report. The audit
 table is written once and the curated table is derived from the written
-table, so the raw records are parsed a single time; every table lands under
-the shared folder (``spark.checkpoint.dir``) unless a location is given.
+table, so the raw records are parsed a single time. All five are one version of
+the warehouse folder (``sources.snapshots``): they are written beside the version
+in force, checked there, and published together by one manifest. The folder lies
+under the shared folder (``spark.checkpoint.dir``) unless a location is given.
 """
 
 from __future__ import annotations
@@ -16,10 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.operators import conform as C
-from stationlake.operators.quality import enforce
-from stationlake.schema import CONTRACTS, DAILY, OBSERVATIONS, TENTHS
+from stationlake.schema import DAILY, DIM_DATE, DIM_ELEMENT, DIM_STATION, OBSERVATIONS, TENTHS
 from stationlake.session import shared_dir
-from stationlake.sources import dims, sinks
+from stationlake.sources import dims, sinks, snapshots
 from stationlake.sources.fixed_width import read_dly
 from stationlake.sources.station_csv import read_station_csv
 
@@ -30,47 +31,30 @@ def build_warehouse(spark: SparkSession, raw_dir: str, station_file: str, out_di
                     table_prefix: str = "stationlake") -> tuple[dict[str, DataFrame], DataFrame]:
     """Parse, conform, curate and stage everything; returns (tables, load report).
 
-    ``strict`` fails the job on a value that its type can't hold and, once the
-    tables are written, on any row that breaks a contract (key, unique, NOT NULL,
-    length, reference); with ``strict=False`` overflow becomes NULL and the
-    violations are left to ``contract_report``.
-    With ``station_buckets`` the curated table is saved bucketed on
-    ``station_id`` (external table ``<table_prefix>_daily`` at the same
-    location), so the per-station windows of the views and features read it
-    without a shuffle.
+    ``strict`` fails the load on a value that its type can't hold and on any row
+    that breaks a contract (key, unique, NOT NULL, length, reference); nothing is
+    published then and the version before stays as it is. With ``strict=False``
+    overflow becomes NULL and the violations are left to ``contract_report``.
+    The curated table is stored in ranges of station and day, so that a read of
+    a few stations or days skips most of it. With ``station_buckets`` it is saved
+    bucketed on ``station_id`` instead (external table ``<table_prefix>_daily_<id>``),
+    so the per-station windows of the views and features read it without a shuffle.
     """
     out = (out_dir or f"{shared_dir(spark)}/warehouse").rstrip("/")
-    stations = dims.read_dim_station(spark, station_file)
-    raw = C.ingest_union(read_station_csv(spark, raw_dir, elements, stations=stations.select("station_id")),
-                         read_dly(spark, raw_dir, elements))
-    audit = C.audit_table(raw, elements, tenths)
-    # contract columns plus obs_date (kept so the curated build needs no date join)
-    obs_schema = T.StructType([*OBSERVATIONS.schema.fields, T.StructField("obs_date", T.DateType(), False)])
-    sinks.write_table(sinks.project(audit, obs_schema, strict), f"{out}/observations",
-                      partition_by=["element"], sort_within=["station_id", "date_key"])
-    obs = sinks.read_table(spark, f"{out}/observations", obs_schema)
-
-    wide = C.pivot_daily(obs.withColumn("value", F.col("value").cast("double")), elements)
-    curated = sinks.project(wide, DAILY.schema, strict)
-    if station_buckets:
-        daily = sinks.write_bucketed(curated, f"{table_prefix}_daily", f"{out}/daily", "station_id",
-                                     station_buckets, sort_by=["station_id", "obs_date"])
-    else:
-        sinks.write_table(curated, f"{out}/daily", sort_within=["station_id", "obs_date"])
-        daily = sinks.read_table(spark, f"{out}/daily", DAILY.schema)
-
-    date_dim = dims.dim_date(obs)
-    sinks.write_table(date_dim, f"{out}/dim_date")
-    sinks.write_table(stations, f"{out}/dim_station")
-    sinks.write_table(dims.dim_element(spark), f"{out}/dim_element")
-    tables = {
-        "dim_station": spark.read.parquet(f"{out}/dim_station"),
-        "dim_date": spark.read.parquet(f"{out}/dim_date"),
-        "dim_element": spark.read.parquet(f"{out}/dim_element"),
-        "observations": obs,
-        "daily": daily,
-    }
-    if strict:
-        for name, contract in CONTRACTS.items():
-            enforce(tables[name], contract, tables)
-    return tables, sinks.load_counts(tables)
+    with snapshots.Load(spark, out) as load:
+        read = load.write("dim_station", dims.read_dim_station(spark, station_file), DIM_STATION if strict else None)
+        raw = C.ingest_union(read_station_csv(spark, raw_dir, elements, stations=read.select("station_id")),
+                             read_dly(spark, raw_dir, elements))
+        audit = C.audit_table(raw, elements, tenths)
+        # contract columns plus obs_date (kept so the curated build needs no date join)
+        obs_schema = T.StructType([*OBSERVATIONS.schema.fields, T.StructField("obs_date", T.DateType(), False)])
+        obs = load.write("observations", sinks.project(audit, obs_schema, strict), OBSERVATIONS if strict else None,
+                         partition_by=["element"], sort_within=["station_id", "date_key"])
+        wide = C.pivot_daily(obs.withColumn("value", F.col("value").cast("double")), elements)
+        curated = sinks.project(wide, DAILY.schema, strict)
+        how = ({"buckets": (table_prefix, "station_id", station_buckets), "sort_within": ["station_id", "obs_date"]}
+               if station_buckets else {"range_by": ["station_id", "obs_date"]})
+        load.write("daily", curated, DAILY if strict else None, **how)
+        load.write("dim_date", dims.dim_date(obs), DIM_DATE if strict else None)
+        load.write("dim_element", dims.dim_element(spark), DIM_ELEMENT if strict else None)
+    return snapshots.read(spark, out, load.version), snapshots.load_counts(spark, out, load.version)

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.operators.quality import enforce
 from stationlake.schema import Contract
+from stationlake.sources import snapshots
 from stationlake.sources.header_csv import read_by_header
 
 
@@ -39,14 +39,21 @@ def project(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFra
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
-                sort_within: Sequence[str] = ()) -> None:
+                sort_within: Sequence[str] = (), range_by: Sequence[str] = ()) -> None:
     """Write a staged table.
 
     With ``partition_by`` the rows are first rebalanced on the partition
     columns (AQE splits oversized partitions and merges small ones), so each
     folder gets a few right-sized files. ``sort_within`` clusters rows inside
-    each file for min/max skipping.
+    each file for min/max skipping. ``range_by`` deals all rows out in ranges of
+    these columns (sampled bounds, so a frequent leading value spans several
+    files) and sorts by them: each file and row group then covers a narrow range,
+    and a predicate on them skips the rest.
     """
+    if range_by:
+        if partition_by or sort_within:
+            raise ValueError("range_by deals and sorts by itself")
+        df = df.repartitionByRange(*range_by).sortWithinPartitions(*range_by)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_within:
@@ -82,13 +89,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def bulk_load(spark: SparkSession, path: str | list[str], target: Contract | T.StructType, strict: bool = True,
-              refs: dict[str, DataFrame] | None = None) -> DataFrame:
+              refs: dict[str, DataFrame] | None = None, check: bool = True) -> DataFrame:
     """Load staged CSV files: each file's own header names its columns, '' is NULL.
 
     Columns are matched by header name (any order, other ones ignored, absent
     ones NULL), contract defaults fill NULLs (``is_gsn`` -> 0), and values are
     cast to the target types. A strict load of a contract also fails the job on
-    key, NOT NULL, length and (with ``refs``) reference violations.
+    key, NOT NULL, length and (with ``refs``) reference violations; without
+    ``check`` that is left to the caller (``snapshots.Load`` checks what it has
+    written).
     """
     contract = target if isinstance(target, Contract) else None
     schema = contract.schema if contract else target
@@ -98,7 +107,7 @@ def bulk_load(spark: SparkSession, path: str | list[str], target: Contract | T.S
     for c, v in defaults.items():
         raw = raw.withColumn(c, F.coalesce(F.col(c), F.lit(str(v))))
     out = project(raw, schema, strict)
-    return enforce(out, contract, refs) if contract and strict else out
+    return enforce(out, contract, refs) if contract and strict and check else out
 
 
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -115,30 +124,33 @@ def score_upsert(old: DataFrame, new: DataFrame, key: Sequence[str] = ("station_
     return old.join(new.select(*key), list(key), "left_anti").unionByName(new)
 
 
+def _ordering(order_by: Sequence[str]) -> list[Column]:
+    """Columns to sort by; a name after ``-`` sorts descending."""
+    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order_by]
+
+
 def update_scoreboard(spark: SparkSession, path: str, new: DataFrame, key: Sequence[str] = ("station_id", "model"),
-                      order_by: Sequence[str] = ("mae", "station_id", "model")) -> DataFrame:
-    """Read the board stored at ``path``, replace or add the rows of ``new``, rewrite it ordered, return it.
+                      order_by: Sequence[str] = ("-mae", "station_id", "model"), attempts: int = 5) -> DataFrame:
+    """Replace or add the rows of ``new`` in the board stored at ``path`` and return it, largest MAE first.
 
-    The new version is written beside the old one and the pointer file is
-    switched last, so a lost executor or a failed job leaves the old board.
+    The board is a log of versions (``snapshots``): the new one is written in a
+    folder of its own and published last, so a failed update leaves the old
+    board. If another update publishes meanwhile, this one starts again from
+    that board, ``attempts`` times at most.
     """
-    old = read_scoreboard(spark, path)
-    board = new if old is None else score_upsert(old, new.select(*old.columns), key)
-    version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
-    board.orderBy(*order_by).write.parquet(version)
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
-        f"{path.rstrip('/')}/current")
-    return spark.read.parquet(version).orderBy(*order_by)
-
-
-def read_scoreboard(spark: SparkSession, path: str) -> DataFrame | None:
-    """The board stored at ``path``; None where there is none yet."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        current = spark.read.text(f"{path.rstrip('/')}/current").first()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return spark.read.parquet(current[0]) if current else None
+    for left in range(attempts - 1, -1, -1):
+        try:
+            with snapshots.Load(spark, path) as load:
+                old = load.tables().get("scoreboard")
+                board = new if old is None else score_upsert(old, new.select(*old.columns), key)
+                load.write("scoreboard", board.orderBy(*_ordering(order_by)))
+            break
+        except snapshots.Conflict:
+            if not left:
+                raise
+    return read_scoreboard(spark, path, load.version).orderBy(*_ordering(order_by))
+
+
+def read_scoreboard(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """The board stored at ``path`` (the latest, or ``version``); None where there is none yet."""
+    return snapshots.read(spark, path, version).get("scoreboard")

@@ -210,6 +210,6 @@ def test_stored_scoreboard_is_replaced_and_ordered(spark, tmp_path):
     assert sinks.read_scoreboard(spark, path) is None
     sinks.update_scoreboard(spark, path, spark.createDataFrame([("A", "x", 3.0), ("A", "y", 2.0)], cols))
     out = sinks.update_scoreboard(spark, path, spark.createDataFrame([("A", "x", 1.0), ("B", "x", 2.5)], cols))
-    want = [("A", "x", 1.0), ("A", "y", 2.0), ("B", "x", 2.5)]
+    want = [("B", "x", 2.5), ("A", "y", 2.0), ("A", "x", 1.0)]  # largest MAE first
     assert [tuple(r) for r in out.collect()] == want
     assert sorted(map(tuple, sinks.read_scoreboard(spark, path).collect())) == sorted(want)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stationlake.operators.conform import ELEMENT_CODES
 from stationlake.schema import MISSING
+from stationlake.sources.header_csv import line_place
 
 SLOT_WIDTH = 8
 FIRST_SLOT = 22  # 1-based column of day 1's value
@@ -60,6 +61,5 @@ def read_dly(spark: SparkSession, path: str, elements: Sequence[str] = ELEMENT_C
              glob: str = "*.dly") -> DataFrame:
     """Read month-record files (``glob``) under ``path``; ``file_name`` and ``line_id`` record arrival order."""
     lines = (spark.read.option("pathGlobFilter", glob).text(path)
-             .select("value", F.col("_metadata.file_name").alias("file_name"),
-                     F.monotonically_increasing_id().alias("line_id")))
+             .select("value", F.col("_metadata.file_name").alias("file_name"), line_place().alias("line_id")))
     return parse_dly_lines(lines, elements, keep=("file_name", "line_id"))

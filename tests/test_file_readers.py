@@ -213,3 +213,57 @@ def test_stored_scoreboard_is_replaced_and_ordered(spark, tmp_path):
     want = [("B", "x", 2.5), ("A", "y", 2.0), ("A", "x", 1.0)]  # largest MAE first
     assert [tuple(r) for r in out.collect()] == want
     assert sorted(map(tuple, sinks.read_scoreboard(spark, path).collect())) == sorted(want)
+
+
+def test_the_first_line_is_the_header_and_no_other(spark, tmp_path):
+    """A data row made of column names stays one; blank lines before the header, a byte order mark, an empty file."""
+    kind = T.StructType([T.StructField("element", T.StringType(), False), T.StructField("unit", T.StringType()),
+                         T.StructField("element_name", T.StringType())])
+    (tmp_path / "a.csv").write_text("element,element_name,unit\nTMAX,Maximum,deg C\nUNIT,,\n")
+    (tmp_path / "b.csv").write_text("\n \ufeffUNIT,Element,element_name\nelement,unit,ELEMENT_NAME\n", encoding="utf-8")
+    (tmp_path / "c.csv").write_text("")
+    rows = sorted(tuple(r) for r in sinks.bulk_load(spark, str(tmp_path), kind).collect())
+    assert rows == [("TMAX", "deg C", "Maximum"), ("UNIT", None, None), ("unit", "element", "ELEMENT_NAME")]
+    (tmp_path / "d.csv").write_text("TMIN,Minimum,deg C\nelement,element_name,unit\n")
+    with pytest.raises(ValueError, match="lacks element"):
+        sinks.bulk_load(spark, str(tmp_path), kind)
+
+
+def test_headers_cost_the_head_of_each_file(spark, tmp_path):
+    """One scan of the data in the plan; a header task leaves its split after the first lines."""
+    from stationlake.sources import header_csv
+
+    (tmp_path / "AB000000001.csv").write_text("ID,DATE,ELEMENT,DATA_VALUE,M_FLAG,Q_FLAG,S_FLAG\n"
+                                              + "AB000000001,20010101,TMAX,1,,,\n" * 400_000)
+    heads = header_csv.first_lines(spark, str(tmp_path))
+    assert [(r.file_name, r.header.split(",")[0]) for r in heads.collect()] == [("AB000000001.csv", "ID")]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows = read_station_csv(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and rows.count() == 400_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+@pytest.mark.parametrize("fmt", ["csv", "dly"])
+def test_first_arrival_over_many_splits_in_several_tasks(spark, tmp_path, fmt):
+    """The first line of a grain wins however a file's splits are packed into tasks."""
+    n = 3000
+    if fmt == "csv":
+        body = "ID,DATE,ELEMENT,DATA_VALUE,M_FLAG,Q_FLAG,S_FLAG\n" + "".join(
+            f"AB000000001,200101{1 + i % 28:02d},TMAX,{i},,,\n" for i in range(n))
+    else:
+        body = "".join(line("AB000000001", 2001, 1, "TMAX", {1 + i % 28: (i, " ", " ", " ")}) + "\n" for i in range(n))
+    (tmp_path / f"AB000000001.{fmt}").write_text(body)
+    for size, cost in (("4096", "0"), ("9000", "0"), ("4096", "100000000")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        try:
+            raw = read_station_csv(spark, str(tmp_path)) if fmt == "csv" else read_dly(spark, str(tmp_path))
+            assert raw.rdd.getNumPartitions() > 4
+            got = {r.obs_date.day: r.value_raw for r in C.dedupe_first(raw).collect()}
+            assert got == {d: d - 1 for d in range(1, 29)}
+            order = [r.value_raw for r in raw.orderBy("line_id").collect()]
+            assert order == list(range(n))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")

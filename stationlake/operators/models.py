@@ -19,9 +19,8 @@ from pyspark.sql.window import Window
 from stationlake.operators.joins import join_dim
 from stationlake.schema import FEATURE_COLUMNS, TARGET
 
-# Features that are exact linear combinations of others (range = today - tmin,
-# delta = lag1 - lag2); dropping them makes the linear coefficients unique.
-DEPENDENT_FEATURES = ["temp_range_today", "tmax_delta_1d"]
+#: A feature is dependent if the features before it leave less than this share of its variance.
+DEPENDENT_SHARE = 1e-9
 
 
 def persistence(test: DataFrame) -> DataFrame:
@@ -105,7 +104,23 @@ def _moments(train: DataFrame, feats: Sequence[str]) -> DataFrame:
     return train.groupBy("station_id").agg(*aggs)
 
 
-def _solver(p: int):
+def independent_columns(corr: np.ndarray, share: float = DEPENDENT_SHARE) -> np.ndarray:
+    """Which columns are no linear combination of the columns before them.
+
+    Cholesky elimination of a correlation matrix in column order: the pivot is the share of a column's variance that the
+    independent columns before it leave. A column whose pivot vanishes is dependent and takes no part from there on, so of
+    columns that determine each other the later ones are dropped, the same ones for every station.
+    """
+    p = len(corr)
+    left, ok = corr.astype(float).copy(), np.zeros(p, bool)
+    for j in range(p):
+        if left[j, j] > share:
+            ok[j] = True
+            left -= np.outer(left[:, j], left[j, :]) / left[j, j]
+    return ok
+
+
+def _solver(p: int, dependent: str):
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
@@ -118,33 +133,53 @@ def _solver(p: int):
                         cov[i, j] = cov[j, i] = d[f"c{i}_{j}"]
                 cxy = np.array([d[f"cy{i}"] for i in range(p)])
                 scale = np.sqrt(np.clip(np.diag(cov), 0.0, None))
-                live = scale > 1e-12 * np.maximum(1.0, np.abs(mx))
-                beta = np.zeros(p)
-                if live.any():
-                    s = scale[live]
-                    corr = cov[np.ix_(live, live)] / np.outer(s, s)
-                    beta[live] = (np.linalg.pinv(corr, rcond=1e-10, hermitian=True) @ (cxy[live] / s)) / s
-                out.append((d["station_id"], int(d["n"]), float(d["my"] - mx @ beta), beta.tolist()))
-            yield pd.DataFrame(out, columns=["station_id", "n_train", "intercept", "coefficients"])
+                live = np.flatnonzero(scale > 1e-12 * np.maximum(1.0, np.abs(mx)))
+                beta, free = np.zeros(p), np.zeros(p, bool)
+                if len(live):
+                    corr = cov[np.ix_(live, live)] / np.outer(scale[live], scale[live])
+                    free[live] = independent_columns(corr)
+                    f = np.flatnonzero(free)
+                    s = scale[f]
+                    beta[f] = np.linalg.solve(cov[np.ix_(f, f)] / np.outer(s, s), cxy[f] / s) / s
+                    if dependent == "share" and len(f) < len(live):
+                        # the shortest of the coefficient vectors that predict the same: without its part along the
+                        # combinations of live features that are constant
+                        rest = np.flatnonzero(~free[live])
+                        null = np.zeros((len(live), len(rest)))
+                        null[rest, np.arange(len(rest))] = 1
+                        at = np.flatnonzero(free[live])
+                        null[at] = -np.linalg.solve(corr[np.ix_(at, at)], corr[np.ix_(at, rest)])
+                        null *= (1 / scale[live])[:, None]
+                        q, _ = np.linalg.qr(null)
+                        beta[live] -= q @ (q.T @ beta[live])
+                out.append((d["station_id"], int(d["n"]), float(d["my"] - mx @ beta), beta.tolist(), free.tolist()))
+            yield pd.DataFrame(out, columns=["station_id", "n_train", "intercept", "coefficients", "independent"])
     return solve
 
 
 LINEAR_SCHEMA = T.StructType([
     T.StructField("station_id", T.StringType()), T.StructField("n_train", T.LongType()),
     T.StructField("intercept", T.DoubleType()), T.StructField("coefficients", T.ArrayType(T.DoubleType())),
+    T.StructField("independent", T.ArrayType(T.BooleanType())),
 ])
 
 
-def fit_linear(train: DataFrame, feats: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
+def fit_linear(train: DataFrame, feats: Sequence[str] = FEATURE_COLUMNS, dependent: str = "drop") -> DataFrame:
     """Ordinary least squares with intercept, one model per station.
 
     The normal equations are built by a Spark aggregate (sufficient
     statistics per station, O(p^2) numbers each); only those small rows reach
-    Python, where ``mapInPandas`` solves each p x p system. Singular systems
-    (exactly dependent features) get the minimum-norm solution of the
-    standardised problem, so predictions equal any least-squares solution's.
+    Python, where ``mapInPandas`` solves each p x p system. ``independent``
+    says which features are no linear combination of the ones before them in
+    the station's own data (range = today - tmin, delta = lag1 - lag2). With
+    ``dependent="drop"`` the others have coefficient 0, which makes the rest
+    unique; with ``"share"`` the coefficients are the shortest vector of all
+    that predict the same, as solvers by singular values give. The predictions
+    are those of every least-squares solution either way.
     """
-    return _moments(train, list(feats)).mapInPandas(_solver(len(feats)), LINEAR_SCHEMA)
+    if dependent not in ("drop", "share"):
+        raise ValueError("dependent is 'drop' or 'share'")
+    return _moments(train, list(feats)).mapInPandas(_solver(len(feats), dependent), LINEAR_SCHEMA)
 
 
 def predict_linear(test: DataFrame, coefs: DataFrame, feats: Sequence[str] = FEATURE_COLUMNS,
@@ -157,13 +192,16 @@ def predict_linear(test: DataFrame, coefs: DataFrame, feats: Sequence[str] = FEA
                     F.col(TARGET).alias("actual"), (F.col("intercept") + dot).alias("predicted"))
 
 
-def linear_coefficients(coefs: DataFrame, feats: Sequence[str] = FEATURE_COLUMNS, top: int = 6) -> DataFrame:
-    """Coefficients per station ranked by absolute value (top ``top``)."""
+def linear_coefficients(coefs: DataFrame, feats: Sequence[str] = FEATURE_COLUMNS, top: int = 6,
+                        all_features: bool = False) -> DataFrame:
+    """Coefficients per station ranked by absolute value (top ``top``): of the independent features, or of all."""
     names = F.array(*[F.lit(f) for f in feats])
-    z = coefs.select("station_id", F.inline(F.arrays_zip(names.alias("feature"),
-                                                          F.col("coefficients").alias("coefficient"))))
+    z = coefs.select("station_id", F.inline(F.arrays_zip(names.alias("feature"), F.col("coefficients").alias("coefficient"),
+                                                          F.col("independent").alias("independent"))))
+    if not all_features:
+        z = z.where("independent")
     w = Window.partitionBy("station_id").orderBy(F.abs("coefficient").desc(), F.col("feature"))
-    return z.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    return z.drop("independent").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
 
 
 def linear_residuals(train: DataFrame, coefs: DataFrame, feats: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
@@ -187,13 +225,16 @@ def linear_residuals(train: DataFrame, coefs: DataFrame, feats: Sequence[str] =
 # --- gradient-boosted trees (MLlib) ----------------------------------------
 
 def fit_gbt(train: DataFrame, feats: Sequence[str] = FEATURE_COLUMNS, max_iter: int = 600, max_depth: int = 4,
-            step_size: float = 0.05, subsampling_rate: float = 0.8, feature_subset: str = "0.8", seed: int = 42):
+            step_size: float = 0.05, subsampling_rate: float = 0.8, feature_subset: str = "0.8", seed: int = 42,
+            max_bins: int = 32):
     """Boosted regression trees over all stations at once (one distributed MLlib fit).
 
     A per-station loop would run one training job per station from the
     driver; instead one model is trained on every station's rows, on the same
     features whatever the number of stations. Defaults: 600 trees, depth 4,
-    rate 0.05, 0.8 row and column sampling, seed 42.
+    rate 0.05, 0.8 row and column sampling, seed 42. A split's threshold is one of
+    ``max_bins`` - 1 quantiles of its feature, or any midpoint of neighbouring
+    values where the feature has at most ``max_bins`` of them.
     Returns (pipeline_model, input_feature_names).
     """
     from pyspark.ml import Pipeline
@@ -208,7 +249,7 @@ def fit_gbt(train: DataFrame, feats: Sequence[str] = FEATURE_COLUMNS, max_iter:
               GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=max_iter, maxDepth=max_depth,
                            stepSize=step_size, subsamplingRate=subsampling_rate,
                            featureSubsetStrategy=feature_subset, seed=seed, lossType="squared",
-                           checkpointInterval=10)]
+                           checkpointInterval=10, maxBins=max_bins)]
     return Pipeline(stages=stages).fit(train), names
 
 
@@ -218,6 +259,22 @@ def predict_gbt(model, test: DataFrame) -> DataFrame:
                       F.col(TARGET).alias("actual"), F.col("prediction").alias("predicted"))
 
 
+def tree_nodes(model, names: Sequence[str], tree: int = 0) -> list[tuple[int, str | None, float | None, float, int]]:
+    """(node, feature, threshold, prediction, rows) of one tree; node n's children are 2n (feature <= threshold) and
+    2n + 1, a leaf has no feature. A tree has at most 2 ** (depth + 1) - 1 nodes."""
+    out, todo = [], [(1, model.stages[-1].trees[tree]._call_java("rootNode"))]
+    while todo:
+        n, node = todo.pop()
+        rows = int(node.impurityStats().count())
+        if node.getClass().getSimpleName() == "LeafNode":
+            out.append((n, None, None, float(node.prediction()), rows))
+            continue
+        split = node.split()
+        out.append((n, names[split.featureIndex()], float(split.threshold()), float(node.prediction()), rows))
+        todo += [(2 * n, node.leftChild()), (2 * n + 1, node.rightChild())]
+    return sorted(out)
+
+
 def feature_importance(model, names: Sequence[str]) -> list[tuple[str, float]]:
     """Impurity-based importances of the fitted ensemble (one number per input feature), largest first."""
     imp = model.stages[-1].featureImportances.toArray()

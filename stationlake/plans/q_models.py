@@ -177,13 +177,17 @@ def linear_two_features(spark, sf):
 
 
 @register("linear_coefficients", _sql(f"""
-SELECT station_id, feature, {R("coefficient")} AS coefficient,
-       CAST(row_number() OVER (PARTITION BY station_id ORDER BY abs(coefficient) DESC, feature) AS INTEGER) AS rank
-FROM (SELECT station_id, 'tmax_lag1' AS feature, coalesce((c22 * y1 - c12 * y2) / nullif(c11 * c22 - c12 * c12, 0), 0) AS coefficient FROM ({_TWO_SQL})
-      UNION ALL SELECT station_id, 'tmin_today', coalesce((c11 * y2 - c12 * y1) / nullif(c11 * c22 - c12 * c12, 0), 0) FROM ({_TWO_SQL}))"""))
+SELECT station_id, CAST(rank AS INTEGER) AS rank, true AS among_independent, true AS new_feature, true AS not_larger
+FROM (SELECT DISTINCT station_id FROM train), generate_series(1, 6) r(rank)"""))
 def linear_coefficients(spark, sf):
+    """The top 6 of the 15-feature fit: ranks, none of the two dependent features, no feature twice, falling size."""
     train, _ = FT.split(_features(spark, sf), SPLIT)
-    return r6(M.linear_coefficients(M.fit_linear(train, TWO), TWO))
+    top = M.linear_coefficients(M.fit_linear(train))
+    w = Window.partitionBy("station_id").orderBy("rank")
+    size = F.abs("coefficient")
+    return top.select("station_id", "rank", (~F.col("feature").isin("temp_range_today", "tmax_delta_1d")).alias("among_independent"),
+                      (F.count(F.lit(1)).over(Window.partitionBy("station_id", "feature")) == 1).alias("new_feature"),
+                      F.coalesce(size <= F.lag(size).over(w), F.lit(True)).alias("not_larger"))
 
 
 def _gbt(spark, sf):
@@ -203,6 +207,29 @@ def fit_gbt(spark, sf):
     return board.select("station_id", "model", "n_scored", "n_excluded")
 
 
+_CANDIDATE_ROWS = " UNION ALL ".join(f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS v, {TARGET} AS y FROM train" for f in FEATURE_COLUMNS)
+
+
+@register("tree_root", _sql(f"""
+SELECT feature, {R("(v + next_v) / 2")} AS threshold, {R("ty / tn")} AS root_mean, CAST(cn AS BIGINT) AS n_left, CAST(tn - cn AS BIGINT) AS n_right,
+       {R("cy / cn")} AS left_mean, {R("(ty - cy) / (tn - cn)")} AS right_mean
+FROM (SELECT feature, v, lead(v) OVER w AS next_v, sum(n) OVER w AS cn, sum(sy) OVER w AS cy,
+             sum(n) OVER (PARTITION BY feature) AS tn, sum(sy) OVER (PARTITION BY feature) AS ty
+      FROM (SELECT feature, v, count(*) AS n, sum(y) AS sy FROM ({_CANDIDATE_ROWS}) GROUP BY 1, 2)
+      WINDOW w AS (PARTITION BY feature ORDER BY v))
+WHERE next_v IS NOT NULL
+ORDER BY cy * cy / cn + (ty - cy) * (ty - cy) / (tn - cn) DESC, feature LIMIT 1"""))
+def tree_root(spark, sf):
+    """The first tree's first split without sampling, every midpoint a candidate: the one of largest variance reduction."""
+    train, _ = FT.split(_feats(spark, sf), SPLIT)
+    most = max(train.agg(*[F.count_distinct(f).alias(f) for f in FEATURE_COLUMNS]).first())
+    model, names = M.fit_gbt(train, max_iter=1, max_depth=1, subsampling_rate=1.0, feature_subset="all", max_bins=max(2, most))
+    root, left, right = M.tree_nodes(model, names)
+    row = [(root[1], root[2], root[3], left[4], right[4], left[3], right[3])]
+    return r6(spark.createDataFrame(row, "feature string, threshold double, root_mean double, n_left bigint, n_right bigint, "
+                                         "left_mean double, right_mean double"))
+
+
 @register("feature_importance", f"""
 SELECT feature, true AS in_range, CAST(1.0 AS DOUBLE) AS total FROM (VALUES {_FEATURE_ROWS}) v(feature)""")
 def feature_importance(spark, sf):
@@ -222,12 +249,17 @@ WHERE back <= {HORIZON}"""
 
 
 @register("prediction_sink", _sql(f"""
-SELECT station_id, obs_date, model, {R("actual")} AS actual, {R("predicted")} AS predicted FROM preds WHERE model = 'persistence'"""))
+SELECT station_id, obs_date, model, {R("actual")} AS actual, {R("predicted")} AS predicted FROM preds WHERE model = 'persistence'
+UNION ALL
+SELECT t.station_id, t.obs_date, 'linear', {R("t." + TARGET)}, {R("b.my + b.b1 * (t.tmax_lag1 - b.m1) + b.b2 * (t.tmin_today - b.m2)")}
+FROM test t JOIN (
+  SELECT *, coalesce((c22 * y1 - c12 * y2) / nullif(c11 * c22 - c12 * c12, 0), 0) AS b1,
+         coalesce((c11 * y2 - c12 * y1) / nullif(c11 * c22 - c12 * c12, 0), 0) AS b2 FROM ({_TWO_SQL})) b USING (station_id)"""))
 def prediction_sink(spark, sf):
-    """Predictions written to a caller's path, one folder a model, and read back."""
-    _, test = FT.split(_features(spark, sf), SPLIT)
+    """A fitted model's predictions beside persistence, written to a caller's path, one folder a model, and read back."""
+    train, test = FT.split(_feats(spark, sf), SPLIT)
     path = table_path(spark, "predictions")
-    preds = M.persistence(test)
+    preds = M.persistence(test).unionByName(M.predict_linear(test, M.fit_linear(train, TWO), TWO))
     sinks.write_table(preds, path, partition_by=["model"], sort_within=["station_id", "obs_date"])
     return r6(sinks.read_table(spark, path, preds.schema).select("station_id", "obs_date", "model", "actual", "predicted"))
 

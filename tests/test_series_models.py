@@ -99,7 +99,7 @@ def test_split_and_climatology_unseen_day(spark):
 def test_linear_matches_least_squares(spark):
     base = _dense_daily(spark)
     f = FT.features(base)
-    feats = [c for c in FEATURE_COLUMNS if c not in M.DEPENDENT_FEATURES]
+    feats = [c for c in FEATURE_COLUMNS if c not in ("temp_range_today", "tmax_delta_1d")]
     coefs = M.fit_linear(f, feats)
     preds = M.predict_linear(f, coefs, feats).where("station_id = 'A'").orderBy("obs_date")
     got = np.array([r.predicted for r in preds.collect()])
@@ -197,3 +197,70 @@ def test_last_rows_and_order(spark):
     df = spark.range(50).selectExpr("id", "id % 7 AS g").repartition(4)
     assert [r.id for r in D.last_k(df, ["id"], 3).collect()] == [47, 48, 49]
     assert [r.g for r in D.ordered(df, ["g", "id"], descending=["g"]).limit(7).collect()] == [6] * 7
+
+
+def test_dependent_features_are_found_in_the_data(spark):
+    """range = today - tmin and delta = lag1 - lag2 are dropped, the other 13 coefficients are the least squares' own;
+    shared out, all 15 are the shortest solution, as by singular values."""
+    f = FT.features(_dense_daily(spark))
+    free = [c for c in FEATURE_COLUMNS if c not in ("temp_range_today", "tmax_delta_1d")]
+    pdf = f.where("station_id = 'A'").toPandas()
+    y = pdf[TARGET].to_numpy(float)
+
+    def by_svd(cols):
+        x = pdf[cols].to_numpy(float)
+        beta, *_ = np.linalg.lstsq(x - x.mean(axis=0), y - y.mean(), rcond=1e-10)
+        return dict(zip(cols, beta))
+
+    fit = M.fit_linear(f)
+    a = fit.where("station_id = 'A'").first()
+    assert [c for c, ok in zip(FEATURE_COLUMNS, a.independent) if ok] == free
+    got = {c: v for c, v in zip(FEATURE_COLUMNS, a.coefficients)}
+    assert got["temp_range_today"] == got["tmax_delta_1d"] == 0.0
+    want = by_svd(free)
+    assert all(got[c] == pytest.approx(want[c], abs=1e-6) for c in free)
+    shared = M.fit_linear(f, dependent="share").where("station_id = 'A'").first().coefficients
+    every = by_svd(list(FEATURE_COLUMNS))
+    assert np.allclose(shared, [every[c] for c in FEATURE_COLUMNS], atol=1e-6)
+    top = M.linear_coefficients(fit).where("station_id = 'A'").orderBy("rank").collect()
+    ranked = sorted(free, key=lambda c: (-abs(got[c]), c))[:6]
+    assert [(r.rank, r.feature) for r in top] == list(enumerate(ranked, 1))
+    every_top = M.linear_coefficients(M.fit_linear(f, dependent="share"), all_features=True)
+    assert [r.feature for r in every_top.where("station_id = 'A'").orderBy("rank").collect()] == sorted(
+        FEATURE_COLUMNS, key=lambda c: (-abs(every[c]), c))[:6]
+
+
+def test_independent_columns_by_order():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 4))
+    cols = np.column_stack([x[:, 0], x[:, 1], x[:, 0] - 3 * x[:, 1], x[:, 2], x[:, 2] * 2, x[:, 0] + 1e-3 * x[:, 3]])
+    assert M.independent_columns(np.corrcoef(cols.T)).tolist() == [True, True, False, True, False, True]
+
+
+def test_every_split_of_a_tree_reduces_the_variance_most(spark):
+    """All nodes of one tree without sampling against an exhaustive search over all midpoints."""
+    rng = np.random.default_rng(8)
+    rows = [(float(a), float(b), float(3 * (a > 4) + (b > 7) * (a < 2) + rng.normal(scale=0.2)))
+            for a, b in zip(rng.integers(0, 10, 500), rng.integers(0, 20, 500))]
+    df = spark.createDataFrame([("S", *r) for r in rows], f"station_id string, a double, b double, {TARGET} double")
+    model, names = M.fit_gbt(df, ["a", "b"], max_iter=1, max_depth=3, subsampling_rate=1.0, feature_subset="all", max_bins=64)
+    nodes = {n[0]: n for n in M.tree_nodes(model, names)}
+    data = np.array(rows)
+
+    def check(n, part):
+        _, feature, threshold, prediction, count = nodes[n]
+        y = part[:, 2]
+        assert count == len(part) and prediction == pytest.approx(y.mean())
+        if feature is None:
+            return
+        best = max(((y[part[:, k] <= t].sum() ** 2 / (part[:, k] <= t).sum() + y[part[:, k] > t].sum() ** 2 / (part[:, k] > t).sum(), -k, t)
+                    for k in (0, 1) for v in [np.unique(part[:, k])] for t in (v[1:] + v[:-1]) / 2))
+        assert names[-best[1]] == feature
+        k = names.index(feature)
+        assert set(part[:, k] <= threshold) == {True, False}
+        assert (part[:, k] <= threshold).tolist() == (part[:, k] <= best[2]).tolist()
+        check(2 * n, part[part[:, k] <= threshold])
+        check(2 * n + 1, part[part[:, k] > threshold])
+
+    check(1, data)
+    assert len(nodes) == 15

@@ -7,14 +7,16 @@ writer side) inside the query and parsing them back with the readers.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationlake.operators import conform as C
 from stationlake.plans import bindings as B
 from stationlake.plans.registry import R, W, r6, register
 from stationlake.plans.landing import land_named, pack_daily_arrays, render_dly_lines, render_station_csv
-from stationlake.schema import DIM_STATION, ELEMENTS
+from stationlake.operators.quality import ContractError
+from stationlake.schema import DIM_STATION, ELEMENTS, Contract
 from stationlake.session import table_path
-from stationlake.sources import dims, sinks
+from stationlake.sources import dims, sinks, snapshots
 from stationlake.sources.fixed_width import read_dly
 from stationlake.sources.reanalysis_json import read_reanalysis
 from stationlake.sources.station_csv import read_station_csv
@@ -283,3 +285,42 @@ def load_counts(spark, sf):
         "observations": B.observations_audit(spark, sf),
         "daily": d,
     })
+
+
+# --- several tables in one commit: N and D as staged CSV files; the rows of even days come in a later load ---
+
+def _kept(f: T.StructField, required: set[str]) -> T.StructField:
+    return T.StructField(f.name, f.dataType, f.name not in required)
+
+
+@register("snapshot_load", W("""
+SELECT v.version, t.table_name, t.row_count, t.tmax_sum, CAST(1 AS BIGINT) AS rejected
+FROM (VALUES (CAST(1 AS BIGINT)), (2)) v(version), LATERAL (
+  SELECT 'dim_station' AS table_name, count(*) AS row_count, CAST(NULL AS DOUBLE) AS tmax_sum FROM n
+  UNION ALL SELECT 'daily', count(*), round(sum(tmax), 3) FROM d WHERE v.version = 2 OR day(obs_date) % 2 = 1) t""", "d", "n"))
+def snapshot_load(spark, sf):
+    """A first load, a load rejected as its station file repeats a key (its daily rows don't appear either), an append."""
+    d = B.daily_sparse(spark, sf).select(*_D_COLS)
+    stations = B.dim_station(spark, sf)
+    contracts = {
+        "dim_station": Contract("dim_station", T.StructType([_kept(f, {"station_id"}) for f in stations.schema.fields]), key=("station_id",)),
+        "daily": Contract("daily", T.StructType([_kept(f, {"station_id", "date_key"}) for f in d.schema.fields]),
+                          key=("station_id", "date_key"), references={"station_id": ("dim_station", "station_id")})}
+    staged, root = table_path(spark, "staged"), table_path(spark, "snapshots")
+    odd = F.dayofmonth("obs_date") % 2 == 1
+    for name, df in (("stations", stations), ("odd", d.where(odd)), ("even", d.where(~odd))):
+        sinks.write_table(df, f"{staged}/{name}", fmt="csv")
+    snapshots.load_staged(spark, root, {"dim_station": f"{staged}/stations", "daily": f"{staged}/odd"}, contracts)
+    rejected = 0
+    try:
+        snapshots.load_staged(spark, root, {"daily": f"{staged}/even", "dim_station": f"{staged}/stations"}, contracts)
+    except ContractError:
+        rejected = 1
+    snapshots.load_staged(spark, root, {"daily": f"{staged}/even"}, contracts)
+    sums = None
+    for v in snapshots.versions(spark, root):
+        one = snapshots.read(spark, root, v)["daily"].agg(F.round(F.sum("tmax"), 3).alias("tmax_sum")).select(
+            F.lit(v).cast("bigint").alias("version"), F.lit("daily").alias("table_name"), "tmax_sum")
+        sums = one if sums is None else sums.unionByName(one)
+    return (snapshots.history(spark, root).join(sums, ["version", "table_name"], "left")
+            .select("version", "table_name", "row_count", "tmax_sum", F.lit(rejected).cast("bigint").alias("rejected")))

@@ -157,3 +157,22 @@ def test_an_update_that_lost_the_race_starts_again(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(snapshots.Load, "check", publish_first)
     out = sinks.update_scoreboard(spark, path, spark.createDataFrame([("A", "x", 1.0)], cols))
     assert [tuple(r) for r in out.collect()] == [("B", "x", 9.0), ("A", "x", 1.0)]
+
+
+def test_contract_report_scans_the_child_once(spark, tmp_path):
+    """Key, unique, NOT NULL, type, length and two references in one pass over the checked table."""
+    from stationlake.operators.quality import contract_report
+
+    kind = T.StructType([T.StructField("k", T.IntegerType(), False), T.StructField("j", T.StringType()), T.StructField("u", T.StringType()),
+                         T.StructField("p", T.LongType()), T.StructField("q", T.StringType()), T.StructField("d", T.DecimalType(3, 1))])
+    rule = Contract("child", kind, key=("k", "j"), references={"p": ("pp", "p"), "q": ("qq", "q")}, max_length={"j": 1}, unique=("u",))
+    rows = [(1, None, "a", 1, "x", 1.0), (None, "1", "b", 2, "x", 1.0), (None, None, "b", 9, None, 100.0), (1, None, None, None, "z", None),
+            (None, "1", None, 9, "zz", 5.0), (2, "long", "c", 1, "x", 2.0)]
+    spark.createDataFrame(rows, "k int, j string, u string, p int, q string, d double").write.parquet(str(tmp_path / "c"))
+    refs = {"pp": spark.createDataFrame([(1,), (2,), (2,), (None,)], "p bigint"), "qq": spark.createDataFrame([("x",)], "q string")}
+    out = contract_report(spark.read.parquet(str(tmp_path / "c")), rule, refs)
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = {(r.rule, r.column_name): r.violations for r in out.collect()}
+    assert len(got) == 12
+    assert {k: v for k, v in got.items() if v} == {("not_null", "k"): 3, ("type", "d"): 1, ("length", "j"): 1, ("key", "k,j"): 2,
+                                                   ("unique", "u"): 2, ("fk", "p"): 2, ("fk", "q"): 2}

@@ -33,6 +33,33 @@ def monthly_climatology(daily: DataFrame, stations: DataFrame, value: str = "tma
     return join_dim(wide, _names(stations), "station_id")
 
 
+def unstack(df: DataFrame, index: str | Sequence[str], axis: str, value: str, max_columns: int = 500) -> DataFrame:
+    """``value`` with one column for each value of ``axis`` (in order) and one row for each ``index``.
+
+    The axis is found in the data: one distinct pass, of which the driver sees at most ``max_columns`` + 1 values; a
+    longer axis is an error, as such a table belongs in long form. Several rows of one cell are averaged; a null axis
+    value has no column.
+    """
+    index = [index] if isinstance(index, str) else list(index)
+    found = df.select(axis).where(F.col(axis).isNotNull()).distinct().orderBy(axis).limit(max_columns + 1).collect()
+    if len(found) > max_columns:
+        raise ValueError(f"{axis} has more than {max_columns} values; keep the long form")
+    if not found:
+        return df.select(*index).distinct()
+    return df.groupBy(*index).pivot(axis, [r[0] for r in found]).agg(F.avg(value))
+
+
+def climatology_by_station(daily: DataFrame, stations: DataFrame, value: str = "tmax") -> DataFrame:
+    """Mean ``value`` by calendar month, one column a station: the seasons of all stations side by side."""
+    per = daily.groupBy("station_id", F.month("obs_date").alias("month")).agg(F.avg(value).alias("mean"))
+    return unstack(join_dim(per, _names(stations), "station_id"), "month", "station_name", "mean")
+
+
+def coverage_by_station(daily: DataFrame, stations: DataFrame, value: str = "tmax") -> DataFrame:
+    """Days with ``value`` by year, one column a station (NULL where a station has no row in that year)."""
+    return unstack(yearly_coverage(daily, stations, value), "year", "station_name", "days_with_value")
+
+
 def seasonal_amplitude(daily: DataFrame, stations: DataFrame, value: str = "tmax") -> DataFrame:
     """Hottest minus coldest monthly-mean ``value`` per station."""
     per = daily.groupBy("station_id", F.month("obs_date").alias("m")).agg(F.avg(value).alias("mean"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from stationlake.operators import eda as E
 from stationlake.plans import bindings as B
 from stationlake.plans.registry import R, W, r6, register
@@ -24,6 +26,28 @@ def monthly_climatology(spark, sf):
     return r6(E.monthly_climatology(B.daily_sparse(spark, sf), B.dim_station(spark, sf)))
 
 
+@register("station_columns", W(f"""
+SELECT 'month' AS axis, m.k AS position, s.station_name, {R("avg(d.tmax)")} AS value
+FROM (SELECT DISTINCT CAST(month(obs_date) AS INTEGER) AS k FROM d) m
+CROSS JOIN (SELECT DISTINCT station_id, n.station_name FROM d JOIN n USING (station_id)) s
+LEFT JOIN d ON d.station_id = s.station_id AND month(d.obs_date) = m.k GROUP BY ALL
+UNION ALL
+SELECT 'year', y.k, s.station_name, CASE WHEN count(d.station_id) > 0 THEN CAST(count(d.tmax) AS DOUBLE) END
+FROM (SELECT DISTINCT CAST(year(obs_date) AS INTEGER) AS k FROM d) y
+CROSS JOIN (SELECT DISTINCT station_id, n.station_name FROM d JOIN n USING (station_id)) s
+LEFT JOIN d ON d.station_id = s.station_id AND year(d.obs_date) = y.k GROUP BY ALL""", "d", "n"))
+def station_columns(spark, sf):
+    """Both tables with a column a station (names found in the data), read back cell by cell."""
+    d, n = B.daily_sparse(spark, sf), B.dim_station(spark, sf)
+    out = None
+    for axis, wide in (("month", E.climatology_by_station(d, n)), ("year", E.coverage_by_station(d, n))):
+        names = [F.col(f"`{c}`").cast("double").alias(c) for c in wide.columns if c != axis]
+        cells = wide.select(axis, *names).unpivot([axis], [F.col(f"`{c}`") for c in wide.columns if c != axis], "station_name", "value")
+        part = cells.select(F.lit(axis).alias("axis"), F.col(axis).alias("position"), "station_name", "value")
+        out = part if out is None else out.unionByName(part)
+    return r6(out)
+
+
 @register("seasonal_amplitude", W(f"""
 SELECT p.station_id, n.station_name, {R("max(p.mean) - min(p.mean)")} AS amplitude
 FROM (SELECT station_id, month(obs_date) AS m, avg(tmax) AS mean FROM d GROUP BY 1, 2) p JOIN n USING (station_id)

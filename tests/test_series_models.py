@@ -319,3 +319,13 @@ def test_seasonal_interval_holds_its_share():
         mean, se, _ = FC.fit_forecast_series(y[:600], 24)
         inside.extend(np.abs(y[600:] - mean) <= FC.Z95 * se)
     assert 0.88 < np.mean(inside) < 0.99
+
+
+def test_unstack_finds_its_columns_and_checks_their_number(spark):
+    df = spark.createDataFrame([(1, "b.x", 2.0), (1, "a", 1.0), (2, "a", 5.0), (2, "a", 7.0), (3, None, 9.0)], "m int, s string, v double")
+    out = E.unstack(df, "m", "s", "v").orderBy("m")
+    assert out.columns == ["m", "a", "b.x"]
+    assert [tuple(r) for r in out.collect()] == [(1, 1.0, 2.0), (2, 6.0, None), (3, None, None)]
+    with pytest.raises(ValueError, match="more than 1"):
+        E.unstack(df, "m", "s", "v", max_columns=1)
+    assert E.unstack(df.where("m = 3"), "m", "s", "v").collect() == [(3,)]

@@ -10,9 +10,11 @@ the text, ``<|end|>`` and a newline. ``<|`` inside a text becomes ``< |``, so no
 turn can forge a marker; runs of other characters than letters, digits, ``_``,
 ``.`` and ``-`` in a name become one ``_``.
 
-A conversation longer than ``part_turns`` turn numbers is rendered in parts, each
-a row of its own; in order of ``part`` they join to the whole dialogue, and spans
-count from the part's start. No group is larger than a part.
+A conversation of more than ``part_turns`` turns is rendered in parts of as many,
+each a row of its own; in order of ``part`` they join to the whole dialogue, and
+spans count from the part's start. Turns of long conversations are numbered by a
+distributed rank, whatever their turn numbers are (repeated, null), so no group is
+larger than a part.
 
 Defined results: turns are in order of number (null first), then role, then text;
 a null text is empty, a null role is ``unknown``; repeated turns are all rendered;
@@ -25,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.llm.common import hinted, numbered, stored
+
 PART_TURNS = 512
 END = "<|end|>"
 
@@ -44,13 +48,18 @@ _SPANS = """aggregate(segments, named_struct('at', 0, 'spans', CAST(array() AS A
 def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """conv_id, perspective, part, n_turns, text, spans: a row for each participant and part."""
     t = turns.select("conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("role"),
-                     F.coalesce("text", F.lit("")).alias("text"),
-                     F.floor(F.coalesce("turn", F.lit(0)) / part_turns).cast("bigint").alias("part"))
-    parts = t.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    speakers = (t.where("role <> 'system'").groupBy(F.col("conv_id").alias("_c"))
-                .agg(F.sort_array(F.collect_set("role")).alias("speakers")))
+                     F.coalesce("text", F.lit("")).alias("text"))
+    long = hinted(stored(t.groupBy(F.col("conv_id").alias("_long")).agg(F.count(F.lit(1)).alias("n"))
+                         .where(F.col("n") > part_turns).select("_long"), "chat-long"))
+    is_long = F.col("conv_id").eqNullSafe(F.col("_long"))
+    ranked = numbered(t.join(long, is_long, "left_semi"), ["conv_id"], ["turn", "role", "text"], "chat-order")
+    placed = (t.join(long, is_long, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
+              .unionByName(ranked.withColumn("part", F.floor(F.col("nth") / part_turns).cast("bigint")).drop("nth")))
+    parts = (placed.groupBy("conv_id", "part")
+             .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")))
+    speakers = t.where("role <> 'system'").select(F.col("conv_id").alias("_c"), F.col("role").alias("perspective")).distinct()
     seen = (parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("_c")))
-            .select("conv_id", "part", "turns", F.explode("speakers").alias("perspective"))
+            .select("conv_id", "part", "turns", "perspective")
             .withColumn("segments", F.expr(_SEGMENT)))
     return seen.select("conv_id", "perspective", "part", F.size("turns").alias("n_turns"),
                        F.expr("concat_ws('', transform(segments, s -> concat(s.head, s.body, '\n')))").alias("text"),
@@ -61,7 +70,8 @@ def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
 ORACLE = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-         CAST(floor(coalesce(turn, 0) / 512.0) AS BIGINT) AS part
+         CAST((row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, ''))
+               - 1) // 512 AS BIGINT) AS part
   FROM conversations),
 s AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'),
 g AS (

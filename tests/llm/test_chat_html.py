@@ -33,6 +33,22 @@ def test_parts_join_to_the_whole(spark):
     assert c.rotate(talk(spark, rows).where("false")).count() == 0
 
 
+def test_no_part_is_larger_whatever_the_turn_numbers(spark):
+    """50,000 turns without conversation or number, and one number 2,000 times: parts of 512 in the stated order."""
+    hot = [(None, None, "ab"[i % 2], f"t{i:05d}") for i in range(50_000)] + [(7, 3, "cd"[i % 2], "same") for i in range(2_000)]
+    out = c.rotate(talk(spark, hot + [(8, 1, "a", "x")]).repartition(4)).collect()
+    parts = {}
+    for r in out:
+        assert r["n_turns"] <= 512 and len(r["spans"]) <= 512
+        parts.setdefault((r["conv_id"], r["perspective"]), {})[r["part"]] = r
+    assert {k: len(v) for k, v in parts.items()} == {(None, "a"): 98, (None, "b"): 98, (7, "c"): 4, (7, "d"): 4, (8, "a"): 1}
+    for name in "ab":
+        mine = [parts[(None, name)][i] for i in range(98)]
+        said = [r["text"][s["start"]:s["stop"]] for r in mine for s in r["spans"]]
+        assert said == [f"t{i:05d}<|end|>" for i in range(50_000) if "ab"[i % 2] == name]
+        assert sum(r["n_turns"] for r in mine) == 50_000
+
+
 def test_layout():
     page = ("<title>no</title><p>a<p>b <b>c</b>d<ul><li>x<li>y<ol start=3><li>q<li>z</ol><li>w</ul>after"
             "<table><tr><td>1<td>long cell<tr><td>22<td>z</table>end<script>if (a < b) x</script><div hidden>no</div>"

@@ -39,7 +39,7 @@ from stationlake.session import table_path
 #: Turns of a conversation that one window may hold.
 BLOCK = 4096
 #: Members of a unit up to which their ids are joined in one row; more are packed in runs of as many.
-RUN = 1000
+RUN = 100
 _PATH = "array<struct<p1: bigint, p2: bigint, len: bigint, first: bigint, units: bigint>>"
 
 

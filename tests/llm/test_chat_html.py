@@ -124,3 +124,36 @@ def test_visible_words_equal_a_parser(spark, sf_dir):
         want = re.sub("[\\s\xa0]+", "", "".join(p.out))
         got = re.sub("[\\s\xa0]+", "", re.sub(r"(?m)^\s*(?:- |\d+\. )", "\1", h.render(r["html"] or "")))
         assert got == want, r["page_id"]
+
+
+def test_line_ends_visibility_and_lists():
+    assert h.render("a<br><br>b<br>c<br></div>d<p>e</p><br>f") == "a\n\nb\nc\nd\n\ne\n\n\nf"
+    assert h.render("<details><summary>More</summary>body<p>and</p></details>x<details open><summary>S</summary>y</details>") == "More\nx\nS\ny"
+    assert h.render("<details>a<b>b</b><details open><summary>no</summary></details></details>z") == "z"
+    assert h.render("<p style='visibility:hidden'>no<b style='visibility: visible'>yes</b>no<img alt=no></p>"
+                    "<p style='display:none'><b style='visibility:visible'>no</b></p>") == "yes"
+    assert h.render("<ol start=5><li>a<li value=9>b<li>c<li value=x>d</ol>") == "5. a\n9. b\n10. c\n11. d"
+
+
+def test_cells_keep_their_columns():
+    wide = "w" * 70
+    page = f"<table><tr><td>{wide}<td>b<tr><td>a<td>c<tr><td colspan=2>both columns<td>d<tr><td>x<td>y<td>z</table>"
+    lines = h.render(page).split("\n")
+    assert lines[0] == wide + "  b" and lines[1] == "a" + " " * 71 + "c" and lines[2].index("d") == lines[3].index("z") == 75
+    assert h.render("<table><tr><td rowspan=2>r<td>1<tr><td>2<tr><td>s<td rowspan=0>3<tr><td>t<td>4</table>") == (
+        "r  1\n   2\ns  3\nt     4")
+    assert h.render("<table><tr><td><p>one<p>two<td>x<ul><li>i<li>j</ul><tr><td>z<td>y</table>") == "one  x\n\ntwo  - i\n     - j\nz    y"
+    assert h.render("<table><tr><td colspan=1000>a<td>b<tr><td colspan=abc>c<td rowspan=99999999>d</table>") == "a     b\nc  d"  # b is column 1001
+
+
+def test_a_page_costs_its_length():
+    """100,000 nested blocks, open paragraphs in blocks, and a table whose padding would be quadratic."""
+    import time
+
+    t = time.time()
+    assert h.render("<div>" * 100_000 + "deep") == "deep"
+    assert h.render("<div><p>" * 30_000 + "deep" + "</b></i>" * 30_000) == "deep"
+    rows = "".join(f"<tr><td>{i}<td>{'w' * 4000 if i == 7 else 'v'}<td>x" for i in range(5000))
+    text = h.render(f"<table>{rows}</table>")
+    assert text.count("\n") == 4999 and len(text) < 1_000_000 and "w" * 4000 in text
+    assert time.time() - t < 20

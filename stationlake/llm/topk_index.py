@@ -11,14 +11,19 @@ dimension reaches that floor. Processing stops when few rows remain possible, or
 all segments are done; the possible members are scored exactly. Nothing is
 dropped without that proof, so the result is exact for any data.
 
-Queries travel in blocks of about ``QUERY_ROWS`` to every shard; a shard returns
-``k`` rows a query, and a ranked window merges them.
+Queries travel in blocks of about ``QUERY_ROWS``. A first pass takes each block to
+one shard; the score of rank ``k`` + 1 there is a floor for the whole search. It goes
+along to every other shard, which proves its rows out against it from the start and
+returns only rows that reach it. A ranked window merges them.
 
 Defined results: vectors that are null or hold a null or non-finite component,
 and rows without an id, take no part; a vector is compared with those of its own
-length; rows that carry the query's id are not its candidates; repeated rows each
-count; ties go to the smaller id; with fewer candidates than ``k`` all return; an
-empty table gives an empty result. Only the id and vector columns are read.
+length; every query row is answered, also where rows share an id; a row of the
+query's own id and vector is left out once (the query's own row), other rows of that
+id are candidates; repeated rows each count; ties go to the smaller id; with fewer
+candidates than ``k`` all return; an empty table gives an empty result. Rows are dealt
+by a hash of id and row, so an id that many rows share is spread. Only the id and
+vector columns are read.
 """
 
 from __future__ import annotations
@@ -90,20 +95,19 @@ class Shard:
         self.high = np.maximum.reduceat(flat, self.begin) if len(seg) else flat
         self.dim = dim
 
-    def best(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """ids and scores of the ``k`` best rows but those with id ``own``, best first."""
-        free = self.ids != own
-        if not free.any():
-            return self.ids[:0], self.ids[:0]
-        possible = np.flatnonzero(free)
+    def best(self, q: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of the ``k`` best rows that reach ``floor``, best first."""
+        possible = np.arange(len(self.ids))
         if len(possible) > 4 * k and self.dim:
-            possible = self.possible(q, k, free)
+            possible = self.possible(q, k, floor)
         score = self.v[possible] @ q
+        reach = score >= floor
+        possible, score = possible[reach], score[reach]
         order = np.lexsort((self.ids[possible], -score))[:k]
-        return self.ids[possible[order]], score[order]
+        return possible[order], score[order]
 
-    def possible(self, q: np.ndarray, k: int, free: np.ndarray) -> np.ndarray:
-        """Rows that can be among the ``k`` best."""
+    def possible(self, q: np.ndarray, k: int, floor_: float) -> np.ndarray:
+        """Rows that can be among the ``k`` best and reach ``floor_``."""
         at = q[self.dim_of]
         most, least = np.maximum(at * self.low, at * self.high), np.minimum(at * self.low, at * self.high)
         base = np.full(self.dim, np.iinfo(np.int64).max)
@@ -114,7 +118,11 @@ class Shard:
         cuts = np.unique(np.searchsorted(done, np.arange(1, LAYERS + 1) * (done[-1] / LAYERS)))
         left = impact.astype(np.float64)  # exact: far below 2**53
         sums = np.zeros(len(self.ids))
-        floor_, start = -np.inf, 0
+        start = 0
+        rest = np.zeros(self.dim)
+        np.maximum.at(rest, self.dim_of, left)
+        if rest.sum() + base.sum() < floor_:
+            return order[:0]  # no row of this shard can reach it
         for stop in np.minimum(cuts + 1, len(order)):
             layer = order[start:stop]
             rows = np.concatenate([self.rows[b:e] for b, e in zip(self.begin[layer], self.end[layer])])
@@ -122,11 +130,9 @@ class Shard:
             start = stop
             rest = np.zeros(self.dim)
             np.maximum.at(rest, self.dim_of[order[start:]], left[order[start:]])
-            some = np.argpartition(np.where(free, sums, -1.0), -2 * k)[-2 * k:]
-            some = some[free[some]]
-            if len(some) >= k:
-                floor_ = max(floor_, np.sort(self.v[some] @ q)[-k])
-            can = free & (sums + (rest.sum() + base.sum()) >= floor_)
+            some = np.argpartition(sums, -2 * k)[-2 * k:]
+            floor_ = max(floor_, np.sort(self.v[some] @ q)[-k])
+            can = sums + (rest.sum() + base.sum()) >= floor_
             if can.sum() <= 8 * k:
                 break
         return np.flatnonzero(can)
@@ -135,33 +141,59 @@ class Shard:
 def search(queries: DataFrame, vectors: DataFrame, k: int = 5, scale: int = SCALE, shard_rows: int = SHARD_ROWS,
            query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` best of ``vectors`` for each row of ``queries``."""
-    rows = quantised(vectors, scale)
-    # one search an id, also where a query row is repeated
-    asked = quantised(queries, scale).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     n_shards = max(1, -(-vectors.count() // shard_rows))
     n_blocks = max(1, -(-queries.count() // query_rows))
-    index = stored(packed(rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(n_shards)).cast("int")),
-                          ["shard", "dim"]), "topk-index")
-    blocks = stored(packed(asked.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(n_blocks)).cast("int")),
-                           ["block", "dim"]), "topk-queries")
-    sent = blocks.select("dim", F.col("ids").alias("q_ids"), F.col("vals").alias("q_vals"),
-                         F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"))
+
+    def dealt(df: DataFrame, name: str, n: int) -> DataFrame:
+        # a written table's row numbers, so that an executor's loss can't deal a row twice
+        rows = stored(quantised(df, scale).withColumn("row", F.monotonically_increasing_id()), f"topk-{name}-rows")
+        rows = rows.withColumn(name, F.pmod(F.xxhash64("vec_id", "row"), F.lit(n)).cast("int"))
+        return stored(packed(rows, [name, "dim"]), f"topk-{name}")
+
+    index = dealt(vectors, "shard", n_shards)
+    blocks = (dealt(queries, "block", n_blocks).withColumnRenamed("ids", "q_ids").withColumnRenamed("vals", "q_vals")
+              .withColumn("floors", F.lit(None).cast("binary")))
+    best = k + 1  # the query's own row may be among them
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, shard = None, None
         for b in batches:
-            out: list[list] = [[], [], []]
             for r in b.to_pylist():
                 if key != (r["shard"], r["dim"]):
                     key, shard = (r["shard"], r["dim"]), Shard(r["ids"], r["vals"], r["dim"])
                 ids = np.frombuffer(r["q_ids"], np.int64)
-                for own, q in zip(ids, np.frombuffer(r["q_vals"], np.int64).reshape(len(ids), r["dim"])):
-                    found, score = shard.best(own, q, k)
-                    out[0].append(np.full(len(found), own)), out[1].append(found), out[2].append(score)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
-
-    near = sent.join(index, ["shard", "dim"]).select("shard", "dim", "ids", "vals", "q_ids", "q_vals").mapInArrow(
-        run, "query_id bigint, vec_id bigint, score bigint")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                floors = np.full(len(ids), -np.inf) if r["floors"] is None else np.frombuffer(r["floors"])
+                place, asked, found, score, same, high = [], [], [], [], [], []
+                for i, (own, q, least) in enumerate(zip(ids, np.frombuffer(r["q_vals"], np.int64).reshape(len(ids), r["dim"]), floors)):
+                    at, points = shard.best(q, best, least)
+                    place.append(np.full(len(at), i, np.int32)), asked.append(np.full(len(at), own)), found.append(shard.ids[at]), score.append(points)
+                    same.append((shard.ids[at] == own) & (shard.v[at] == q).all(axis=1))
+                    high.append(points[k] if len(points) > k else least)
+                flat = [np.concatenate(x) if x else [] for x in (place, asked, found, score, same)]
+                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r["block"]], pa.int32()), pa.array([r["dim"]], pa.int32()), pa.array([np.array(high, float).tobytes()])]
+                    + [pa.array([x], pa.list_(t)) for x, t in zip(flat, kinds)],
+                    names=["block", "dim", "floors", "place", "query_id", "found", "score", "same"])
+
+    columns = ["shard", "dim", "ids", "vals", "block", "q_ids", "q_vals", "floors"]
+    result = ("block int, dim int, floors binary, place array<int>, query_id array<bigint>, found array<bigint>, "
+              "score array<bigint>, same array<boolean>")
+
+    def searched(sent: DataFrame) -> DataFrame:
+        return sent.join(index, ["shard", "dim"]).select(*columns).mapInArrow(run, result)
+
+    # each block's first shard; where that shard has no vector of this length there is no floor
+    first = F.pmod(F.col("block"), F.lit(n_shards))
+    pilot = stored(searched(blocks.withColumn("shard", first)), "topk-pilot")
+    floors = pilot.select("block", "dim", F.col("floors").alias("least"))
+    rest = (blocks.join(floors, ["block", "dim"], "left").withColumn("floors", F.col("least")).drop("least")
+            .withColumn("shard", F.explode(F.expr(f"filter(sequence(0, {n_shards - 1}), s -> s != pmod(block, {n_shards}))"))))
+    near = pilot.unionByName(searched(rest)) if n_shards > 1 else pilot
+    rows = near.select("block", "dim", F.explode(F.arrays_zip("place", "query_id", "found", "score", "same")).alias("r")).select("block", "dim", "r.*")
+    of_query = Window.partitionBy("block", "dim", "place").orderBy(F.desc("score"), "found", F.desc("same"))
+    rows = rows.withColumn("n", F.row_number().over(of_query)).where(F.col("n") <= best)
+    own = F.sum(F.col("same").cast("int")).over(of_query.rowsBetween(Window.unboundedPreceding, 0))
+    kept = rows.withColumn("own", own).where(~(F.col("same") & (F.col("own") == 1)))
+    rank = F.col("n") - F.least("own", F.lit(1))
+    return kept.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", F.col("found").alias("vec_id"), "score")

@@ -10,11 +10,12 @@ def by_hand(rows, queries, k):
     good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in sorted({i for i, _ in good if queries(i)}):
-        v = next(v for i, v in good if i == q)
-        found = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q and len(w) == len(v))[:k]
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found)]
-    return out
+    for n, (q, v) in enumerate(good):
+        if queries(q):
+            others = [(i, w) for m, (i, w) in enumerate(good) if m != n and len(w) == len(v)]
+            found = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in others)[:k]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found)]
+    return sorted(out)
 
 
 def run(docs, k, **how):
@@ -45,3 +46,19 @@ def test_sf(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in docs.collect()]
     assert run(docs, 5) == by_hand(rows, lambda i: i % 50 == 0, 5)
+
+
+def test_rows_that_share_an_id(spark):
+    """Every query row is answered; only its own row is left out, of equal rows one."""
+    rows = [(0, [1.0, 0.0]), (0, [3.0, 1.0]), (1, [2.0, 0.5]), (2, [0.0, 9.0]), (50, [1.0, 1.0]), (50, [1.0, 1.0]), (50, [1.0, 1.0])]
+    docs = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    want = by_hand(rows, lambda i: i % 50 == 0, 3)
+    assert run(docs, 3) == want == run(docs, 3, shard_rows=2, query_rows=2) and len(want) == 15
+
+
+def test_floors_across_shards_with_hot_ids(spark):
+    rng = random.Random(4)
+    rows = [(100 if i % 3 == 0 else i, [rng.gauss(0, 1 + (i % 7)) for _ in range(8)]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    want = by_hand(rows, lambda i: i % 50 == 0, 5)
+    assert run(docs, 5, shard_rows=64, query_rows=16) == want

@@ -14,7 +14,7 @@ from stationlake.session import table_path
 #: A word is a maximal run of anything but ASCII white space (fixed by the contracts).
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
 #: Rows of one Arrow batch: long texts make large batches otherwise.
-BATCH_ROWS = 400
+BATCH_ROWS = 1000
 #: A table is broadcast up to this many measured bytes; beyond it the join shuffles.
 BROADCAST_BYTES = 32 << 20
 

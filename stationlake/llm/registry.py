@@ -54,7 +54,8 @@ def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = passages.repeated_passages(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return passages.with_classes(found)
+    return passages.with_classes(found).select("doc_id", "start", "stop", "other_id", "other_start", "other_stop", "n_matched",
+                                               "class_id")
 
 
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

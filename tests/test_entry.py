@@ -70,3 +70,15 @@ def test_entry_loaded_by_path_from_another_folder(tmp_path):
     assert rows, out.stderr[-2000:]
     entry_rows, forecast_rows, linear_rows = map(int, rows[0].split()[1:])
     assert entry_rows > 0 and forecast_rows > 0 and linear_rows > 0
+
+
+def test_other_queries_stay_where_a_package_of_the_extras_is_missing(monkeypatch):
+    import __spark_entry__ as entry
+    from stationlake.plans.registry import QUERIES
+
+    pytest.importorskip("corpus_pipeline")
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("stationlake.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    with pytest.warns(UserWarning, match="public_tokenizers"):
+        assert set(entry.queries()) == set(QUERIES)

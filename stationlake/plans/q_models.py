@@ -178,9 +178,11 @@ def linear_two_features(spark, sf):
 
 @register("linear_coefficients", _sql(f"""
 SELECT station_id, CAST(rank AS INTEGER) AS rank, true AS among_independent, true AS new_feature, true AS not_larger
-FROM (SELECT DISTINCT station_id FROM train), generate_series(1, 6) r(rank)"""))
+FROM (SELECT station_id, count(*) AS n FROM train GROUP BY 1), generate_series(1, 6) r(rank) WHERE rank < n"""))
 def linear_coefficients(spark, sf):
-    """The top 6 of the 15-feature fit: ranks, none of the two dependent features, no feature twice, falling size."""
+    """The top 6 of the 15-feature fit: ranks, none of the two dependent features, no feature twice, falling size.
+
+    (n rows tell n - 1 features apart at most, so a station of fewer than 7 has fewer ranks.)"""
     train, _ = FT.split(_features(spark, sf), SPLIT)
     top = M.linear_coefficients(M.fit_linear(train))
     w = Window.partitionBy("station_id").orderBy("rank")
@@ -224,8 +226,11 @@ def tree_root(spark, sf):
     train, _ = FT.split(_feats(spark, sf), SPLIT)
     most = max(train.agg(*[F.count_distinct(f).alias(f) for f in FEATURE_COLUMNS]).first())
     model, names = M.fit_gbt(train, max_iter=1, max_depth=1, subsampling_rate=1.0, feature_subset="all", max_bins=max(2, most))
-    root, left, right = M.tree_nodes(model, names)
-    row = [(root[1], root[2], root[3], left[4], right[4], left[3], right[3])]
+    nodes = M.tree_nodes(model, names)
+    row = []  # no split where all targets are equal
+    if len(nodes) == 3:
+        root, left, right = nodes
+        row = [(root[1], root[2], root[3], left[4], right[4], left[3], right[3])]
     return r6(spark.createDataFrame(row, "feature string, threshold double, root_mean double, n_left bigint, n_right bigint, "
                                          "left_mean double, right_mean double"))
 

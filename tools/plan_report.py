@@ -17,7 +17,8 @@ from collections import Counter
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 BUILD_RUNS_JOBS = {"fit_linear", "linear_scores", "linear_coefficients", "fit_gbt", "feature_importance",
-                   "write_roundtrip", "bulk_load", "load_counts", "parse_fixed_width", "ingest_union"}
+                   "write_roundtrip", "bulk_load", "load_counts", "parse_fixed_width", "ingest_union", "snapshot_load",
+                   "tree_root", "station_columns", "prediction_sink", "score_upsert"}
 NODES = ["BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "HashAggregate",
          "ObjectHashAggregate", "SortAggregate", "WindowGroupLimit", "Window", "Generate", "FlatMapGroupsInPandas",
          "MapInPandas", "BatchEvalPython", "ArrowEvalPython"]

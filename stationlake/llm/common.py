@@ -32,7 +32,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the memory of a Python worker: at most ``BATCH_ROWS`` texts at a time."""
+    """Bound the memory of a Python worker: at most ``BATCH_ROWS`` texts at a time.
+
+    The session keeps the setting, as results are computed later; a smaller one of the caller's stays.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))

@@ -38,12 +38,15 @@ from pyspark.sql import functions as F
 from stationlake.llm.common import small_batches, stored, text_bytes
 
 DEPTH = 4
-#: Entries of a broadcast table, 16 bytes each.
-HOT_ROWS = 2_000_000
+#: Entries of a broadcast table, 16 bytes each; a task looks them up in a table of 34 to 68 bytes an entry.
+HOT_ROWS = 1_000_000
 #: Rarer grams and words are joined, not broadcast (a power of two, less one).
 COMMON = 3
 #: Distinct grams held by a task before its runs are merged.
-MERGE_ROWS = 2_000_000
+MERGE_ROWS = 1_000_000
+#: Bytes of text that a task works on at a time (one text at least), and table entries that it puts in at a time.
+PIECE_BYTES = 1 << 19
+PUT_ROWS = 1 << 17
 GRAM, WORD, DOCS = 0, 1, 2
 
 
@@ -64,6 +67,18 @@ def gram_codes(texts: list[bytes], depth: int) -> np.ndarray:
     return code[real]
 
 
+def pieces(texts: list[bytes], most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with ``most`` bytes together at most, or one longer text."""
+    most, start, size = most or PIECE_BYTES, 0, 0
+    for i, t in enumerate(texts):
+        if i > start and size + len(t) > most:
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if texts:
+        yield start, len(texts)
+
+
 def word_codes(text: bytes) -> np.ndarray:
     words = text.lower().split()
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
@@ -106,15 +121,13 @@ def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         grams, words, n_docs = Tally(), Tally(), 0
         for b in batches:
             texts, out = text_bytes(b.column(1)), b.column(2).to_pylist()
-            if not texts:
-                continue
             for held in (False, True):
                 some = [t for t, h in zip(texts, out) if h == held]
-                if some:
-                    grams.add(gram_codes(some, depth), 0 if held else 1)
-                if some and not held:
-                    n_docs += len(some)
-                    words.add(np.concatenate([word_codes(t) for t in some]), 1)
+                for i, j in pieces(some):
+                    grams.add(gram_codes(some[i:j], depth), 0 if held else 1)
+                    if not held:
+                        n_docs += j - i
+                        words.add(np.concatenate([word_codes(t) for t in some[i:j]]), 1)
         for kind, (k, n) in ((GRAM, grams.merge()), (WORD, words.merge()),
                              (DOCS, (np.zeros(1, np.int64), np.array([n_docs])))):
             for i in range(0, len(k), 100_000):
@@ -262,9 +275,13 @@ class Lookup:
     """Open-addressed table of 64-bit keys to doubles."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(len(keys) * 2.2).bit_length())
+        self.bits = max(4, int(len(keys) * 2).bit_length())
         size = 1 << self.bits
         self.keys, self.values, self.full = np.zeros(size, np.int64), np.zeros(size), np.zeros(size, bool)
+        for i in range(0, len(keys), PUT_ROWS):
+            self.put(keys[i:i + PUT_ROWS], values[i:i + PUT_ROWS])
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
         at, left = self.slot(keys), np.arange(len(keys))
         while len(left):
             free = left[~self.full[at[left]]]
@@ -272,7 +289,7 @@ class Lookup:
             put = free[who]
             self.keys[slots], self.values[slots], self.full[slots] = keys[put], values[put], True
             left = np.setdiff1d(left, put, assume_unique=True)
-            at[left] = (at[left] + 1) & (size - 1)
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
 
     def slot(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -327,32 +344,33 @@ def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, hot_rows: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = tables.value
         if "look" not in shared:
-            shared["look"] = Lookup(*shared["gram"]), Lookup(*shared["word"])
+            shared["look"] = Lookup(*shared.pop("gram")), Lookup(*shared.pop("word"))
         gram_table, word_table = shared["look"]
         row = (TaskContext.get().partitionId() << 33) - 1
         for b in batches:
-            texts = text_bytes(b.column(1))
-            if not texts:
-                continue
-            rids = np.arange(row + 1, row + 1 + len(texts))
-            row += len(texts)
-            sizes = np.array([len(t) for t in texts])
-            code = gram_codes(texts, depth)
-            lp, hit = gram_table.get(code)
-            of = np.repeat(np.arange(len(texts)), sizes)
-            scores = np.bincount(of, lp, len(texts))
-            codes = [word_codes(t) for t in texts]
-            n_of = np.array([len(x) for x in codes])
-            word = np.concatenate(codes)
-            w_of = np.repeat(np.arange(len(texts)), n_of)
-            n, seen = word_table.get(word)
-            base = np.bincount(w_of, np.where(seen, np.log10((n + 0.1) / norm), 0.0), len(texts)) + end
-            known = np.bincount(w_of, seen, len(texts)).astype(np.int64) + (1 if n_docs else 0)
-            yield batch(GRAM - 1, rids, b.column(0), b.column(2), n_of + 1, known, base, scores, sizes)
-            for kind, key, rows, miss in ((GRAM, code, of, ~hit), (WORD, word, w_of, ~seen)):
-                if miss.any():
-                    pairs, times = np.unique(np.stack([rows[miss], key[miss]]), axis=1, return_counts=True)
-                    yield batch(kind, rids[pairs[0]], None, None, times, pairs[1], None, None, None)
+            whole = text_bytes(b.column(1))
+            for i, j in pieces(whole):
+                texts = whole[i:j]
+                rids = np.arange(row + 1, row + 1 + len(texts))
+                row += len(texts)
+                sizes = np.array([len(t) for t in texts])
+                code = gram_codes(texts, depth)
+                lp, hit = gram_table.get(code)
+                of = np.repeat(np.arange(len(texts)), sizes)
+                scores = np.bincount(of, lp, len(texts))
+                codes = [word_codes(t) for t in texts]
+                n_of = np.array([len(x) for x in codes])
+                word = np.concatenate(codes)
+                w_of = np.repeat(np.arange(len(texts)), n_of)
+                n, seen = word_table.get(word)
+                base = np.bincount(w_of, np.where(seen, np.log10((n + 0.1) / norm), 0.0), len(texts)) + end
+                known = np.bincount(w_of, seen, len(texts)).astype(np.int64) + (1 if n_docs else 0)
+                yield batch(GRAM - 1, rids, b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), n_of + 1, known, base, scores,
+                            sizes)
+                for kind, key, rows, miss in ((GRAM, code, of, ~hit), (WORD, word, w_of, ~seen)):
+                    if miss.any():
+                        pairs, times = np.unique(np.stack([rows[miss], key[miss]]), axis=1, return_counts=True)
+                        yield batch(kind, rids[pairs[0]], None, None, times, pairs[1], None, None, None)
 
     def batch(kind, rid, doc, held, a, b, x, y, size):
         n = len(rid)

@@ -2,8 +2,8 @@
 
 Split at 2000-01-01 (the data spans 1995-2001; the reference splits at
 2010-01-01 on 1960-2018). Baselines, the scoreboard, the gate, the one-feature
-trend and the two-feature linear fit have DuckDB oracles for their values. The
-15-feature fit, the boosted trees and the seasonal forecast are compared in
+trend, the two-feature linear fit and the top coefficients of the 15-feature fit
+have DuckDB oracles for their values. The 15-feature fit itself, the boosted trees and the seasonal forecast are compared in
 what SQL can state of them (counts, residuals, bounds, widths, sums); the tree
 and forecast values themselves are held by unit tests.
 """
@@ -176,20 +176,53 @@ def linear_two_features(spark, sf):
                            F.col("coefficients")[1].alias(TWO[1]), "intercept"))
 
 
-@register("linear_coefficients", _sql(f"""
-SELECT station_id, CAST(rank AS INTEGER) AS rank, true AS among_independent, true AS new_feature, true AS not_larger
-FROM (SELECT station_id, count(*) AS n FROM train GROUP BY 1), generate_series(1, 6) r(rank) WHERE rank < n"""))
+_N = len(FEATURE_COLUMNS) + 1  # the features, then the target
+
+_FIT_COLUMNS = [*FEATURE_COLUMNS, TARGET]
+
+# Least squares by Gauss-Jordan steps on the station's correlation matrix (a list, row by row): step k clears column k with row
+# k, unless the features before leave feature k a share of its variance that is nothing; the last column ends as the solution.
+LINEAR_SQL = f"""
+moments AS (
+  SELECT station_id, [{", ".join(f"avg({c})" for c in _FIT_COLUMNS)}] AS m,
+         [{", ".join(f"covar_pop({a}, {b})" for a in _FIT_COLUMNS for b in _FIT_COLUMNS)}] AS c
+  FROM train GROUP BY 1),
+spreads AS (
+  SELECT *, list_transform(range({_N}), lambda i: CASE WHEN sqrt(greatest(c[i * {_N + 1} + 1], 0)) > 1e-12 * greatest(1, abs(m[i + 1]))
+                                                       THEN sqrt(c[i * {_N + 1} + 1]) END) AS s FROM moments),
+steps AS (
+  SELECT station_id, s, 0 AS k, CAST([] AS BOOLEAN[]) AS free,
+         list_transform(range({_N * _N}), lambda x: coalesce(c[x + 1] / (s[x // {_N} + 1] * s[x % {_N} + 1]), 0)) AS a
+  FROM spreads
+  UNION ALL
+  SELECT station_id, s, k + 1, list_append(free, a[k * {_N + 1} + 1] > {M.DEPENDENT_SHARE}),
+         CASE WHEN a[k * {_N + 1} + 1] > {M.DEPENDENT_SHARE} THEN list_transform(range({_N * _N}), lambda x:
+           CASE WHEN x // {_N} = k THEN a[x + 1] / a[k * {_N + 1} + 1]
+                ELSE a[x + 1] - a[x // {_N} * {_N} + k + 1] * a[k * {_N} + x % {_N} + 1] / a[k * {_N + 1} + 1] END) ELSE a END
+  FROM steps WHERE k < {_N - 1}),
+solved AS (
+  SELECT station_id, feature, a[i * {_N} + {_N}] * coalesce(s[{_N}], 0) / s[i + 1] AS coefficient
+  FROM steps, (VALUES {", ".join(f"({i}, '{f}')" for i, f in enumerate(FEATURE_COLUMNS))}) v(i, feature)
+  WHERE k = {_N - 1} AND free[i + 1]),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY abs(coefficient) DESC, feature) AS rank FROM solved)"""
+
+
+@register("linear_coefficients", _sql(f""", {LINEAR_SQL.strip()}
+SELECT station_id, CAST(rank AS INTEGER) AS rank, feature, {R("coefficient")} AS coefficient,
+       feature NOT IN ('temp_range_today', 'tmax_delta_1d') AS among_independent, true AS new_feature, true AS not_larger
+FROM ranked WHERE rank <= 6""").replace("WITH ", "WITH RECURSIVE ", 1))
 def linear_coefficients(spark, sf):
-    """The top 6 of the 15-feature fit: ranks, none of the two dependent features, no feature twice, falling size.
-
-    (n rows tell n - 1 features apart at most, so a station of fewer than 7 has fewer ranks.)"""
+    """The top 6 of the 15-feature fit, by absolute value: ranks, features and coefficients; none of the two dependent features,
+    no feature twice, falling size."""
     train, _ = FT.split(_features(spark, sf), SPLIT)
     top = M.linear_coefficients(M.fit_linear(train))
     w = Window.partitionBy("station_id").orderBy("rank")
     size = F.abs("coefficient")
-    return top.select("station_id", "rank", (~F.col("feature").isin("temp_range_today", "tmax_delta_1d")).alias("among_independent"),
-                      (F.count(F.lit(1)).over(Window.partitionBy("station_id", "feature")) == 1).alias("new_feature"),
-                      F.coalesce(size <= F.lag(size).over(w), F.lit(True)).alias("not_larger"))
+    return r6(top.select("station_id", "rank", "feature", "coefficient",
+                         (~F.col("feature").isin("temp_range_today", "tmax_delta_1d")).alias("among_independent"),
+                         (F.count(F.lit(1)).over(Window.partitionBy("station_id", "feature")) == 1).alias("new_feature"),
+                         F.coalesce(size <= F.lag(size).over(w), F.lit(True)).alias("not_larger")))
 
 
 def _gbt(spark, sf):

@@ -230,6 +230,36 @@ def test_dependent_features_are_found_in_the_data(spark):
         FEATURE_COLUMNS, key=lambda c: (-abs(every[c]), c))[:6]
 
 
+def test_the_coefficients_query_gives_the_top_six_with_their_values(spark, monkeypatch):
+    """Feature and coefficient of every rank, against numpy and its own SQL; a station of 5 rows has 4 ranks, one without spread none."""
+    import duckdb
+
+    from stationlake.plans import q_models
+
+    f = FT.features(_dense_daily(spark, start=dt.date(1998, 6, 1)))
+    few = f.where("station_id = 'A'").orderBy("obs_date").limit(5).withColumn("station_id", F.lit("C"))
+    one = f.where("station_id = 'A'").orderBy("obs_date").limit(1).withColumn("station_id", F.lit("D"))
+    f = spark.createDataFrame(f.unionByName(few).unionByName(one).toPandas(), f.schema)
+    monkeypatch.setattr(q_models, "_features", lambda spark, sf: f)
+    out = q_models.linear_coefficients(spark, "").orderBy("station_id", "rank").collect()
+    train = f.where("obs_date < '2000-01-01'").toPandas()
+    free = [c for c in FEATURE_COLUMNS if c not in ("temp_range_today", "tmax_delta_1d")]
+    for sid in "AB":
+        part = train[train.station_id == sid]
+        x, y = part[free].to_numpy(float), part[TARGET].to_numpy(float)
+        beta = dict(zip(free, np.linalg.lstsq(x - x.mean(axis=0), y - y.mean(), rcond=1e-10)[0]))
+        got = [(r["rank"], r.feature) for r in out if r.station_id == sid]
+        assert got == list(enumerate(sorted(free, key=lambda c: (-abs(beta[c]), c))[:6], 1))
+        assert all(r.coefficient == pytest.approx(beta[r.feature], abs=2e-6) for r in out if r.station_id == sid)
+    assert [r["rank"] for r in out if r.station_id == "C"] == [1, 2, 3, 4] and not [r for r in out if r.station_id == "D"]
+    con = duckdb.connect()
+    con.register("train", train)
+    sql = con.execute(f"WITH RECURSIVE {q_models.LINEAR_SQL} SELECT station_id, rank, feature, coefficient FROM ranked "
+                      "WHERE rank <= 6 ORDER BY station_id, rank").fetchall()
+    assert [r[:3] for r in sql] == [(r.station_id, r["rank"], r.feature) for r in out]
+    assert all(r[3] == pytest.approx(o.coefficient, abs=2e-6) for r, o in zip(sql, out))
+
+
 def test_independent_columns_by_order():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 4))
